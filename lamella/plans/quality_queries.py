@@ -62,9 +62,8 @@ def market_numbers(spark: SparkSession, d: str) -> DataFrame:
 def p3_shifts(spark: SparkSession, d: str) -> DataFrame:
     by = [*LOAD, "feature"]
     stats = P.moments(P.power_sums(market_numbers(spark, d), by=by, value="x"), by=by)
-    brief = lambda c: F.format_string("%.9e", F.col(c)).alias(c)
     full = P.standardised_shifts(stats, _loads(spark, d))
-    return full.select("exchange", "ccxt_version", "feature", "n", brief("mean"), F.round("shift", 3).alias("shift"))
+    return full.select("exchange", "ccxt_version", "feature", "n", F.round("mean", 3).alias("mean"), F.round("shift", 3).alias("shift"))
 
 
 BAD_SQL = f"""
@@ -132,7 +131,7 @@ stats AS (
   SELECT exchange, ccxt_version, s.f AS feature, count(*) AS n, favg(s.x) AS mean, var_pop(s.x) AS variance
   FROM numbers WHERE isfinite(s.x) GROUP BY ALL),
 placed AS (SELECT t.*, l.seq FROM stats t JOIN loads l USING (exchange, ccxt_version))
-SELECT a.exchange, a.ccxt_version, a.feature, a.n, printf('%.9e', a.mean) AS mean,
+SELECT a.exchange, a.ccxt_version, a.feature, a.n, round(a.mean, 3) AS mean,
        round(CASE WHEN abs(a.mean - b.mean) <= 1e-14 * abs(a.mean) THEN 0 WHEN a.variance + b.variance > 0 THEN (a.mean - b.mean) / sqrt((a.variance + b.variance) / 2) END, 3) AS shift
 FROM placed a LEFT JOIN placed b ON a.exchange = b.exchange AND a.feature = b.feature AND a.seq = b.seq + 1"""
 
