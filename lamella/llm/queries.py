@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamella.llm import packing, tokenizer
+from lamella.llm import packing, tokenizer, truncation
 from lamella.plans.runtime import read_table
 
 
@@ -25,7 +25,19 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.packing_report(p7_containers(spark, d))
 
 
-QUERIES = {"p6_ids": p6_ids, "p6_round_trip": p6_round_trip, "p7_containers": p7_containers, "p7_report": p7_report}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated(read_table(spark, d, "documents"))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source cuts."""
+    return truncation.truncation_report(read_table(spark, d, "documents"), p8_found(spark, d))
+
+
+QUERIES = {
+    "p8_found": p8_found,
+    "p8_report": p8_report,
+    "p6_ids": p6_ids, "p6_round_trip": p6_round_trip, "p7_containers": p7_containers, "p7_report": p7_report}
 SQL = {
     "p6_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
