@@ -199,7 +199,11 @@ def strict_prefixes(values: DataFrame) -> DataFrame:
 
 
 def unfinished_endings(parts: DataFrame) -> DataFrame:
-    """(h1, h2) of the texts whose last words the corpus continues or completes elsewhere; ``parts`` is written."""
+    """(h1, h2, cut) of the texts whose last words are no usual end; ``parts`` is written.
+
+    ``cut`` where the corpus continues or completes those words elsewhere. Endings
+    are judged once each, however many texts share one.
+    """
     counted = parts.where("kind <> 'text'").groupBy("kind", "a", "b", "c").agg(*[F.sum(c).alias(c) for c in ("mid", "end", "last")])
     counted = durable(counted)
     stats = lambda kind, **names: counted.where(F.col("kind") == kind).select(*[F.col(c).alias(n) for c, n in names.items()])
@@ -225,8 +229,8 @@ def unfinished_endings(parts: DataFrame) -> DataFrame:
     )
     goes_on = (F.col("m2") >= 2) & (F.col("m2") > F.col("d2"))
     never_last = (F.col("m1") + F.col("e1") >= 3) & (F.col("e1") < 0.03 * (F.col("m1") + F.col("e1")))
-    cut = j.where(~usual_end & ~set_phrase & (part_word | goes_on | never_last)).select("a", "b", "c", "plain")
-    return open_.join(cut, ["a", "b", "c", "plain"], "left_semi").select("h1", "h2")
+    judged = j.where(~usual_end & ~set_phrase).select("a", "b", "c", "plain", (part_word | goes_on | never_last).alias("cut"))
+    return open_.join(judged, ["a", "b", "c", "plain"]).select("h1", "h2", "cut")
 
 
 def field_limits(lengths: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -273,8 +277,8 @@ def truncated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", so
 
     A mark that a source puts at the cut (dots, an ellipsis, a word in brackets, a
     broken character) belongs to the cut and is left aside; the rest must be cut:
-    unfinished by its last words, unfinished and a strict prefix of a longer text,
-    or as long as a limit of its source. Structures left open and a broken last
+    unfinished by its last words, a strict prefix of a longer text with last words
+    that are no usual end, or as long as a limit of its source. Structures left open and a broken last
     character are proof by themselves. At a limit, texts that end a sentence count
     only if the source has no longer ones. Null, empty and blank texts are none. A
     copy of a cut text is a case whatever its source; a null source is a source of
@@ -288,12 +292,13 @@ def truncated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", so
     parts = durable(take_texts_apart(texts))
     ends = parts.where("kind = 'text'")
     certain = ends.where("certain").select("h1", "h2")
-    words = unfinished_endings(parts)
+    unusual = durable(unfinished_endings(parts))
+    words = unusual.where("cut").select("h1", "h2")
 
-    # Longer copies: a prefix that ends inside a sentence.
-    bare = texts.join(ends.where(F.col("n_bare") >= LEAST_PREFIX).select("h1", "h2", "n_bare", "whole"), ["h1", "h2"])
+    # Longer copies: a prefix that does not end like a text.
+    bare = texts.join(ends.where(F.col("n_bare") >= LEAST_PREFIX).select("h1", "h2", "n_bare"), ["h1", "h2"])
     values = bare.select("h1", "h2", F.expr("substring(text, 1, n_bare)").alias("value"))
-    copies = strict_prefixes(values).join(ends.where("not whole").select("h1", "h2"), ["h1", "h2"], "left_semi")
+    copies = strict_prefixes(values).join(unusual.select("h1", "h2"), ["h1", "h2"], "left_semi")
 
     # Limits of the sources.
     keyed = hashed.groupBy("source", "h1", "h2").agg(F.any_value(F.length("text")).alias("chars"), F.any_value(F.octet_length("text")).alias("bytes"))
