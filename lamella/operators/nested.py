@@ -149,7 +149,7 @@ class Index:
             tfirst[1:] = tdoc[1:] != tdoc[:-1]
         starts = np.flatnonzero(tfirst)
         depth = total - np.repeat(total[starts] - step[starts], np.diff(np.append(starts, m))) if m else total
-        tlast = np.append(starts[1:], m) - 1
+        tlast = (np.append(starts[1:], m) - 1)[: len(starts)]
         bad[tdoc[tlast[depth[tlast] != 0]]] = True
         bad[tdoc[depth < 0]] = True
         empty = np.ones(docs, bool)
