@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNDEFINED = "__undefined"
 # Separators in the order in which they are tried.
@@ -111,6 +112,6 @@ def jaro(a: str, b: str) -> float:
     return (m / len(a) + m / len(b) + (m - swapped) / m) / 3
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def jaro_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else jaro(x, y) for x, y in zip(a, b)], dtype="float64")

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Keys that differ from run to run. Fixed values.
 VOLATILE = ("extracted_at", "generated_at", "checked_at", "validated_at", "recorded_at")
@@ -75,7 +76,7 @@ def _loads(text: str | None) -> object:
         return _ABSENT
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def json_at(document: pd.Series, pointer: pd.Series) -> pd.Series:
     """Value at a pointer as JSON text; null for an unreadable document, an absent value, or a bad pointer."""
 
@@ -188,24 +189,24 @@ def nesting_depth(value: object, items: int = 10, keys: int = 50) -> int:
     return deepest
 
 
-def json_udf(kind: str, change):  # noqa: ANN001, ANN201
+def json_udf(kind: T.DataType, change):  # noqa: ANN001, ANN201
     """A vectorised function of a JSON text; null for unreadable texts."""
 
     @F.pandas_udf(kind)
     def run(text: pd.Series) -> pd.Series:
         values = [_loads(t) for t in text]
-        return pd.Series([None if v is _ABSENT else change(v) for v in values], dtype="object" if kind == "string" else "Int64")
+        return pd.Series([None if v is _ABSENT else change(v) for v in values], dtype="Int64" if isinstance(kind, T.LongType) else "object")
 
     return run
 
 
-canonical_json = json_udf("string", _dumps)
-without_volatile = json_udf("string", lambda v: _dumps(strip_keys(v)))
-without_undefined = json_udf("string", lambda v: _dumps(strip_undefined(v)))
-json_depth = json_udf("long", nesting_depth)
+canonical_json = json_udf(T.StringType(), _dumps)
+without_volatile = json_udf(T.StringType(), lambda v: _dumps(strip_keys(v)))
+without_undefined = json_udf(T.StringType(), lambda v: _dumps(strip_undefined(v)))
+json_depth = json_udf(T.LongType(), nesting_depth)
 
 
-@F.pandas_udf("struct<position:long,left:string,right:string>")
+@F.pandas_udf(T.StructType([T.StructField("position", T.LongType()), T.StructField("left", T.StringType()), T.StructField("right", T.StringType())]))
 def first_difference(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """First differing byte of two texts, with 20 bytes before and after; position null if they are equal or one is null."""
     out = []
