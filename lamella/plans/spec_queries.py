@@ -135,9 +135,9 @@ def scoped_markets(spark, d):
 
 
 def missing_datasets(spark, d):
-    """Entities that are no alias without any ``describe`` file."""
+    """Entities that are no alias without a fixture of release 4.9.0."""
     e = entities(spark, d)
-    files = read_table(spark, d, "discoveries").where("dataset = 'describe'").select(normal_key(F.col("id")).alias("id"))
+    files = read_table(spark, d, "signing_fixture").where("ccxt_version = '4.9.0'").select(normal_key(F.col("exchange")).alias("id"))
     return S.missing_files(e, files, e.where("alias"))
 
 
@@ -388,7 +388,7 @@ walk AS (SELECT DISTINCT src AS start, src AS node, 0 AS hops FROM edges UNION S
 SELECT start, node, min(hops) AS hops FROM walk GROUP BY ALL""",
     "alias_exclusion": f"{_E} SELECT id FROM entity WHERE NOT coalesce(alias, false)",
     "scoped_markets": f"{_E} SELECT exchange, count(*) AS n FROM load_markets WHERE {_key('exchange')} IN (SELECT id FROM entity WHERE pro) GROUP BY exchange",
-    "missing_datasets": f"{_E} SELECT id FROM entity WHERE NOT coalesce(alias, false) AND id NOT IN (SELECT {_key('id')} FROM discoveries WHERE dataset = 'describe' AND {_key('id')} IS NOT NULL)",
+    "missing_datasets": f"{_E} SELECT id FROM entity WHERE NOT coalesce(alias, false) AND id NOT IN (SELECT {_key('exchange')} FROM signing_fixture WHERE ccxt_version = '4.9.0' AND {_key('exchange')} IS NOT NULL)",
     "closest_nations": """SELECT lower(r_name) AS asked, lower(n_name) AS id, round(jaro_similarity(lower(r_name), lower(n_name)), 6) AS score,
   CAST(row_number() OVER (PARTITION BY r_name ORDER BY jaro_similarity(lower(r_name), lower(n_name)) DESC, lower(n_name)) AS INTEGER) AS rank
 FROM region, nation WHERE jaro_similarity(lower(r_name), lower(n_name)) >= 0.4 QUALIFY rank <= 3""",
@@ -426,6 +426,9 @@ SELECT q.id, q.path, q.source FROM q LEFT JOIN a x ON x.id = q.id AND x.path = q
     "drift_new": f"""WITH a AS (SELECT id, CASE WHEN path = '/market_type' THEN '/base/kind' ELSE path END AS path FROM {_LEAF('4.10.1')}), n AS (SELECT a.* FROM a ANTI JOIN {_LEAF('4.7.8')} b ON b.id = a.id AND b.path = a.path)
 SELECT id, path FROM n WHERE NOT EXISTS (SELECT 1 FROM n o WHERE o.id = n.id AND starts_with(n.path, o.path || '/'))""",
     "determinism": "SELECT record_no, CASE WHEN record_no % 7 = 3 THEN 'missing_second' WHEN record_no % 7 = 1 AND auth IS NOT NULL THEN 'diverged' ELSE 'equal' END AS status FROM exchange_output",
+    "list_override_audit": """WITH b AS (SELECT node_key, arg_max(methods, (extracted_at, len(methods))) AS v, max(method_count) AS n FROM class_hierarchy WHERE methods IS NOT NULL GROUP BY 1),
+o AS (SELECT node_key, list_sort(list_distinct(CASE n % 3 WHEN 0 THEN v WHEN 1 THEN v[:1] ELSE ['zz'] END)) AS o, CASE WHEN n > 0 THEN list_sort(list_distinct(v)) END AS d FROM b)
+SELECT CASE WHEN d IS NULL THEN 'unverified' WHEN o = d THEN 'warning' WHEN list_has_all(d, o) THEN 'verified' ELSE 'mismatch' END AS status, count(*) AS n FROM o WHERE o IS NOT NULL GROUP BY 1""",
     "event_json": """SELECT event_id, props AS canonical, 1::BIGINT AS depth, json_extract(props, '$.k')::VARCHAR AS k FROM (SELECT event_id, regexp_replace(props, '\\s', '', 'g') AS props FROM events)""",
     "patched_events": """SELECT event_id, CASE WHEN event_type IS NULL THEN regexp_replace(props, '\\s', '', 'g') ELSE '{"k":0,"kind":"' || event_type || '"}' END AS document,
   CASE WHEN event_type IS NULL THEN 0 ELSE 2 END::BIGINT AS applied, CASE WHEN event_type IS NULL THEN 0 ELSE 1 END::BIGINT AS failed FROM events""",
