@@ -40,7 +40,7 @@ def is_numeric(text: Column) -> Column:
 def letter_case(text: Column) -> Column:
     """upper, lower or mixed by the ASCII letters of a text; null without any."""
     letters = F.regexp_replace(text, "[^A-Za-z]", "")
-    return F.when(letters == "", None).when(letters == F.upper(letters), "upper").when(letters == F.lower(letters), "lower").otherwise("mixed")
+    return F.when(letters.isNull() | (letters == ""), None).when(letters == F.upper(letters), "upper").when(letters == F.lower(letters), "lower").otherwise("mixed")
 
 
 def pascal_case(text: Column) -> Column:

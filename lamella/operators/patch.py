@@ -12,7 +12,10 @@ from pyspark.sql import types as T
 
 #: Keys that differ from run to run. Fixed values.
 VOLATILE = ("extracted_at", "generated_at", "checked_at", "validated_at", "recorded_at")
-_ABSENT = object()
+
+
+class _ABSENT:
+    """Stands for a value that is not there; a class, so that it stays itself when functions are sent to workers."""
 
 
 def pointer_keys(pointer: str) -> list[str]:
