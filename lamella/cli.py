@@ -8,7 +8,7 @@ import sys
 from collections.abc import Callable, Sequence
 
 #: Modules of queries, in the order of the README.
-PLANS = ("change", "nested", "quality", "reference_check", "hierarchy", "analytics", "spec", "ast", "stream")
+PLANS = ("change", "nested", "quality", "reference_check", "hierarchy", "analytics", "spec", "family", "ast", "stream")
 
 
 def known() -> dict[str, Callable]:
