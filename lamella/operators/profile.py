@@ -172,14 +172,17 @@ def power_sums(values: DataFrame, *, by: Sequence[str], value: str) -> DataFrame
     up = F.lit(53) - F.col("k")
     half = F.floor(up / 2)
     scaled = finite.withColumn("k", k).withColumn("m", (x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), up - half)).cast("long"))
-    split = scaled.withColumn("h", F.floor(F.col("m") / float(2**27)).cast("long")).withColumn("l", F.col("m") - F.col("h") * 2**27)
-    exact = lambda c: F.sum(c.cast("decimal(20,0)"))
-    return split.groupBy(*by, "k").agg(
-        F.count("*").alias("n"),
-        exact(F.col("m")).alias("m"),
-        exact(F.col("h") * F.col("h")).alias("hh"),
-        exact(F.col("h") * F.col("l")).alias("hl"),
-        exact(F.col("l") * F.col("l")).alias("ll"),
+    h, low = F.shiftright("m", 27), F.col("m").bitwiseAND(F.lit(2**27 - 1))
+    split = scaled.select(*by, "k", h.alias("h"), low.alias("l"))
+    products = split.select(*by, "k", "h", "l", (F.col("h") * F.col("h")).alias("hh"), (F.col("h") * F.col("l")).alias("hl"), (F.col("l") * F.col("l")).alias("ll"))
+    # Sums of whole parts of at most 29 bits: exact in 64 bits for 2**34 rows of a group, an error beyond.
+    parts = [F.sum("h").alias("sh"), F.sum("l").alias("sl")]
+    for c in ("hh", "hl", "ll"):
+        parts += [F.sum(F.shiftright(c, 28)).alias(f"{c}1"), F.sum(F.col(c).bitwiseAND(F.lit(2**28 - 1))).alias(f"{c}0")]
+    whole = lambda c: F.col(c).cast("decimal(20,0)").cast("decimal(38,0)")
+    joined = lambda high, lower, bits: (whole(high) * F.lit(2**bits).cast("decimal(10,0)") + whole(lower)).cast("decimal(38,0)")
+    return products.groupBy(*by, "k").agg(F.count("*").alias("n"), *parts).select(
+        *by, "k", "n", joined("sh", "sl", 27).alias("m"), *[joined(f"{c}1", f"{c}0", 28).alias(c) for c in ("hh", "hl", "ll")]
     )
 
 
