@@ -210,7 +210,7 @@ def standardised_shifts(stats: DataFrame, snapshots: DataFrame, *, feature: str
     for different ones, where both variances are 0.
     """
     small = broadcast_if_small(durable(snapshots.select(scope, version, "seq")))
-    now = stats.join(small, [scope, version])
+    now = durable(stats.join(small, [scope, version]))  # a row per snapshot and feature, read twice
     then = now.select(scope, feature, (F.col("seq") + 1).alias("seq"), F.col("mean").alias("mean0"), F.col("variance").alias("variance0"))
     pooled = F.sqrt((F.col("variance") + F.col("variance0")) / 2)
     gap = F.col("mean") - F.col("mean0")
