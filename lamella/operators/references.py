@@ -40,18 +40,15 @@ def _range_of(hashed: Column, n: int) -> Column:
 def _in_force_by_window(refs: DataFrame, times: DataFrame) -> DataFrame:
     """``force_us`` of each reference, without gathering the times: windows inside days, and a carry of one row per day."""
     day = F.floor(F.col("at_us") / 86_400_000_000)
-    carry = times.groupBy(day.alias("day")).agg(F.max("at_us").alias("m"))
-    carry = carry.select("day", F.col("m").alias("last_us"), F.lead("day").over(Window.orderBy("day")).alias("next_day"))
+    last = times.groupBy(day.alias("day")).agg(F.max("at_us").alias("m"))
+    days = refs.select(day.alias("day")).where("day is not null").distinct().join(last, "day", "full")
+    before = F.last("m", ignorenulls=True).over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1))
+    carry = days.select("day", before.alias("before_us"))
     marks = times.select(F.col("at_us"), F.col("at_us").alias("listed_us"), F.lit(0).alias("is_ref"))
     both = refs.withColumn("is_ref", F.lit(1)).unionByName(marks, allowMissingColumns=True).withColumn("day", day)
     w = Window.partitionBy("day").orderBy("at_us", "is_ref")
     seen = both.withColumn("in_day", F.last("listed_us", ignorenulls=True).over(w)).where("is_ref = 1")
-    c = carry.alias("c")
-    return (
-        seen.join(c, (seen["day"] > c["day"]) & (seen["day"] <= F.coalesce(c["next_day"], F.lit(2**60))), "left")
-        .withColumn("force_us", F.coalesce("in_day", "last_us"))
-        .select(*refs.columns, "force_us")
-    )
+    return seen.join(carry, "day", "left").withColumn("force_us", F.coalesce("in_day", "before_us")).select(*refs.columns, "force_us")
 
 
 def _spans(*columns: np.ndarray) -> list[tuple[int, int]]:
