@@ -194,7 +194,7 @@ def strict_prefixes(values: DataFrame) -> DataFrame:
     first = found.where("edge = 'first'").select("part", "value")
     # One row per range: its first value, and that of the next range that has any.
     following = first.select("part", F.lead("value").over(Window.orderBy("part")).alias("next"))
-    edge = found.where("edge = 'last'").join(F.broadcast(following), "part").where(F.col("next").startswith(F.col("value")) & (F.col("next") != F.col("value")))
+    edge = found.where("edge = 'last'").join(broadcast_if_small(following), "part").where(F.col("next").startswith(F.col("value")) & (F.col("next") != F.col("value")))
     return found.where("edge is null").select("h1", "h2").unionByName(edge.select("h1", "h2"))
 
 
