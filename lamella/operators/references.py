@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamella.plans.runtime import durable
+from lamella.plans.runtime import broadcast_if_small, durable
 
 #: Reference rows that one range task probes; a fuller range is split by salt.
 ROWS_PER_TASK = 1_000_000
@@ -201,10 +201,11 @@ def orphan_references(
     slim = slim.withColumn("h", h).withColumn("rng", _range_of(F.col("h"), n))
     spread = durable(slim.groupBy("rng").agg(F.ceil(F.count("*") / ROWS_PER_TASK).cast("int").alias("salts")))
     tasks = int(spread.agg(F.sum("salts")).first()[0] or 1)
-    salted = slim.join(F.broadcast(spread), "rng").withColumn("salt", F.pmod(F.xxhash64("ref_id"), F.col("salts")).cast("int"))
+    few = broadcast_if_small(spread)
+    salted = slim.join(few, "rng").withColumn("salt", F.pmod(F.xxhash64("ref_id"), F.col("salts")).cast("int"))
     store = (
         parents.withColumn("h", h).withColumn("rng", _range_of(F.col("h"), n))
-        .join(F.broadcast(spread), "rng")
+        .join(few, "rng")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     )
     layout = ["rng", "salt", "kind", "h", "key", "at_us", "force_us", "ref_id", "label"]
