@@ -135,5 +135,31 @@ SELECT a.exchange, a.ccxt_version, a.feature, a.n, round(a.mean, 3) AS mean,
        round(CASE WHEN abs(a.mean - b.mean) <= 1e-14 * abs(a.mean) THEN 0 WHEN a.variance + b.variance > 0 THEN (a.mean - b.mean) / sqrt((a.variance + b.variance) / 2) END, 3) AS shift
 FROM placed a LEFT JOIN placed b ON a.exchange = b.exchange AND a.feature = b.feature AND a.seq = b.seq + 1"""
 
-QUERIES = {"p3_found": p3_found, "p3_profile": p3_profile_plain, "p3_shifts": p3_shifts}
-SQL = {"p3_found": FOUND_SQL, "p3_profile": PROFILE_SQL, "p3_shifts": SHIFTS_SQL}
+def p3_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Range of the numbers below each key of the map columns, per load.
+
+    ``n`` counts finite numbers, ``n_other`` entries that are null, no number or
+    not finite; a feature with none of the first has a null range.
+    """
+    x = F.col("x")
+    ok = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    return market_numbers(spark, d).groupBy(*LOAD, "feature").agg(
+        F.count(F.when(ok, 1)).alias("n"), F.count(F.when(~ok, 1)).alias("n_other"),
+        F.min(F.when(ok, x)).alias("least"), F.max(F.when(ok, x)).alias("greatest"),
+    )
+
+
+RANGES_SQL = """
+WITH numbers AS (
+  SELECT exchange, ccxt_version, unnest(list_concat(list_concat(
+    [struct_pack(f := 'precisions.' || e.key, x := CASE WHEN NOT contains(e.value, '_') THEN TRY_CAST(e.value AS DOUBLE) END) FOR e IN coalesce(map_entries(precisions), [])],
+    [struct_pack(f := 'limits.' || e.key || '.min', x := e.value.min) FOR e IN coalesce(map_entries(limits), [])]),
+    [struct_pack(f := 'limits.' || e.key || '.max', x := e.value.max) FOR e IN coalesce(map_entries(limits), [])])) AS s
+  FROM load_markets)
+SELECT exchange, ccxt_version, s.f AS feature, count(*) FILTER (isfinite(s.x)) AS n, count(*) FILTER (NOT coalesce(isfinite(s.x), false)) AS n_other,
+       min(s.x) FILTER (isfinite(s.x)) AS least, max(s.x) FILTER (isfinite(s.x)) AS greatest
+FROM numbers GROUP BY ALL"""
+
+# p3_profile is what PROFILE_SQL can be compared with; p3_profile_full keeps the ranges of the map columns.
+QUERIES = {"p3_found": p3_found, "p3_profile": p3_profile_plain, "p3_shifts": p3_shifts, "p3_profile_full": p3_profile, "p3_ranges": p3_ranges}
+SQL = {"p3_found": FOUND_SQL, "p3_profile": PROFILE_SQL, "p3_shifts": SHIFTS_SQL, "p3_ranges": RANGES_SQL}
