@@ -110,13 +110,33 @@ def scope_closure(spark, d):
     return R.close_scope(R.closure(edges), scope)
 
 
-def call_reach(spark, d):
-    """Methods in delivery order of a class call the next one: what each method name leads to within 3 calls."""
+def call_edges(spark, d):
+    """(src, dst): methods in delivery order of a class call the next one."""
     pairs = read_table(spark, d, "class_hierarchy").select(F.explode(F.arrays_zip(F.slice("methods", 1, F.greatest(F.size("methods") - 1, F.lit(0))).alias("src"), F.slice("methods", 2, F.greatest(F.size("methods"), F.lit(0))).alias("dst"))).alias("p")).where("p.src is not null and p.dst is not null")
-    edges = durable(pairs.groupBy("p.src", "p.dst").agg(F.count("*").alias("n")).where("src < dst").select("src", "dst"))
+    return durable(pairs.select("p.src", "p.dst").distinct())
+
+
+def call_reach(spark, d):
+    """What each method name leads to within 3 calls to names that sort after the caller's, as its SQL has it.
+
+    A part of the calls only: ``call_reach_depth`` and ``call_fixpoint`` follow all of them.
+    """
+    edges = durable(call_edges(spark, d).where("src < dst"))
     return R.reachable(edges, edges.select(F.col("src").alias("id")).distinct(), depth=3)
 
 
+def call_reach_depth(spark, d):
+    """What each method name leads to within 3 calls, over all calls (row 87)."""
+    edges = call_edges(spark, d)
+    return R.reachable(edges, edges.select(F.col("src").alias("id")).distinct(), depth=3)
+
+
+def call_fixpoint(spark, d):
+    """What each method name leads to over all calls, until nothing is added (row 86)."""
+    edges = call_edges(spark, d)
+    return R.reachable(edges, edges.select(F.col("src").alias("id")).distinct())
+
+
 # ---- scopes and joins --------------------------------------------------------------------------
 
 def entities(spark, d):
@@ -347,7 +367,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         tree_children, ancestor_closure, root_ancestor, tier_expansion, nearest_stream_method, parent_fallback, parent_map_merge, override_status, error_buckets,
-        scope_closure, call_reach, alias_exclusion, scoped_markets, missing_datasets, closest_nations, tier_lookup, scope_stamps, vocabulary, assembly, kind_pivot,
+        scope_closure, call_reach, call_reach_depth, call_fixpoint, alias_exclusion, scoped_markets, missing_datasets, closest_nations, tier_lookup, scope_stamps, vocabulary, assembly, kind_pivot,
         upsert_customers, envelope_counts, manifest_check, first_attempts, content_hashes, market_spot_check, precision_key_diff, fixture_parity, drift_flipped,
         drift_stale, drift_new, determinism, list_override_audit, event_json, patched_events, pointer_translation, name_forms, channel_placeholders, bucket_limits,
         dead_paths, status_classes, order_invariants, entry_faults,
@@ -358,6 +378,8 @@ _E = f"WITH {ENTITY_SQL}"
 _LEAF = lambda v: f"""(SELECT exchange || '|' || symbol AS id, unnest([struct_pack(path := '/base', value := r.base), struct_pack(path := '/quote', value := r.quote), struct_pack(path := '/market_type', value := r.market_type)], recursive := true)
   FROM (SELECT exchange, symbol, arg_max(struct_pack(base := base, quote := quote, market_type := market_type), row_no) AS r FROM load_markets WHERE ccxt_version = '{v}' AND symbol IS NOT NULL GROUP BY ALL))"""
 _BUCKET = "CASE " + " ".join(f"WHEN anc = '{c}' THEN {i}" for i, (_, c) in enumerate(BUCKETS)) + " END"
+_CALLS = """edges AS (SELECT DISTINCT z[1] AS src, z[2] AS dst FROM (SELECT unnest(list_zip(methods[1:len(methods) - 1], methods[2:])) AS z FROM class_hierarchy WHERE len(methods) > 1) WHERE z[1] IS NOT NULL AND z[2] IS NOT NULL),
+walk AS (SELECT DISTINCT src AS start, src AS node, 0 AS hops FROM edges UNION SELECT start, dst, hops + 1 FROM walk JOIN edges ON src = node"""
 _NAMES = "['" + "', '".join(b for b, _ in BUCKETS) + "']"
 SQL = {
     "tree_children": f"WITH {EDGES_SQL} SELECT parent, count(*) AS n, string_agg(node, ',' ORDER BY node) AS children FROM edges WHERE parent IS NOT NULL GROUP BY parent",
@@ -386,6 +408,9 @@ SELECT coalesce({_NAMES}[r + 1], 'non_retryable') AS bucket, count(*) AS n FROM
     "call_reach": """WITH RECURSIVE edges AS (SELECT DISTINCT s AS src, t AS dst FROM (SELECT unnest(list_zip(methods[1:len(methods) - 1], methods[2:])) AS z, z[1] AS s, z[2] AS t FROM class_hierarchy WHERE len(methods) > 1) WHERE s < t),
 walk AS (SELECT DISTINCT src AS start, src AS node, 0 AS hops FROM edges UNION SELECT start, dst, hops + 1 FROM walk JOIN edges ON src = node WHERE hops < 3)
 SELECT start, node, min(hops) AS hops FROM walk GROUP BY ALL""",
+    "call_reach_depth": f"WITH RECURSIVE {_CALLS} WHERE hops < 3) SELECT start, node, min(hops) AS hops FROM walk GROUP BY ALL",
+    # No shortest way has more calls than there are names.
+    "call_fixpoint": f"WITH RECURSIVE {_CALLS} WHERE hops < (SELECT count(DISTINCT src) FROM edges)) SELECT start, node, min(hops) AS hops FROM walk GROUP BY ALL",
     "alias_exclusion": f"{_E} SELECT id FROM entity WHERE NOT coalesce(alias, false)",
     "scoped_markets": f"{_E} SELECT exchange, count(*) AS n FROM load_markets WHERE {_key('exchange')} IN (SELECT id FROM entity WHERE pro) GROUP BY exchange",
     "missing_datasets": f"{_E} SELECT id FROM entity WHERE NOT coalesce(alias, false) AND id NOT IN (SELECT {_key('exchange')} FROM signing_fixture WHERE ccxt_version = '4.9.0' AND {_key('exchange')} IS NOT NULL)",

@@ -41,3 +41,16 @@ def test_profile_keeps_ranges_of_maps(spark, tmp_path):
         "precisions.price": (2, 0, 9.0, 10.0), "precisions.amount": (0, 2, None, None),
         "limits.cost.min": (2, 0, -2.0, 1.0), "limits.cost.max": (0, 2, None, None),
     }
+
+
+CLASSES = "node_key string, parent_key string, id string, class_type string, source_file string, extends_raw string, methods array<string>, method_count int, extracted_at timestamp_ntz"
+
+
+def test_calls_to_earlier_names_and_cycles(spark, tmp_path):
+    classes = [["e", "d"], ["d", "c"], ["c", "b"], ["b", "a"], ["a", "e"], ["a"], None, ["a", None, "b"]]
+    rows = [(f"rest:{i}", None, str(i), "rest", "f", None, m, 0, dt.datetime(2025, 1, 1)) for i, m in enumerate(classes)]
+    d = write(spark, tmp_path, class_hierarchy=(rows, CLASSES))
+    ring = "edcba"
+    want = {(ring[i], ring[(i + k) % 5], k) for i in range(5) for k in range(5)}
+    assert {(r.start, r.node, r.hops) for r in run(spark, "call_fixpoint", d).collect()} == want
+    assert {(r.start, r.node, r.hops) for r in run(spark, "call_reach_depth", d).collect()} == {w for w in want if w[2] <= 3}
