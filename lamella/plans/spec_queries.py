@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lamella.functions import strings as X
@@ -15,7 +15,7 @@ from lamella.operators import scope as S
 from lamella.operators import upsert as U
 from lamella.operators.references import normal_key
 from lamella.plans.analytics_queries import ENTITY_SQL, _key, coverage_rows
-from lamella.plans.runtime import durable, read_table
+from lamella.plans.runtime import broadcast_if_small, durable, read_table
 
 
 # ---- hierarchies -------------------------------------------------------------------------------
@@ -251,10 +251,25 @@ def precision_key_diff(spark, d):
 
 
 def fixture_parity(spark, d):
-    """Fixtures of an exchange in two releases: the newest before 4.9.0 and the one of 4.9.0."""
-    t = read_table(spark, d, "signing_fixture").groupBy("exchange", "ccxt_version").agg(F.max_by(F.to_json(F.struct("cases", "skipped"), {"ignoreNullFields": "false"}), "fixture_no").alias("text"))
-    nodes = lambda v: D.node_rows(t.where(F.col("ccxt_version") == v), id=["exchange"], text="text")
-    return D.parity(durable(nodes("4.9.0")), durable(nodes("4.8.10")), id=["exchange"])
+    """Fixture of each exchange and release against the exchange's latest before that release.
+
+    Releases are in the order of ``released_at``; every release of the list from an
+    exchange's first fixture on has a row. The first is ``extra``; a release without a
+    fixture is ``missing``. ``prev_version`` is the release compared with. Fixtures
+    without an exchange or of releases not listed are left out.
+    """
+    texts = read_table(spark, d, "signing_fixture").where("exchange is not null").groupBy("exchange", "ccxt_version").agg(F.max_by(F.to_json(F.struct("cases", "skipped"), {"ignoreNullFields": "false"}), "fixture_no").alias("text"))
+    releases = broadcast_if_small(durable(read_table(spark, d, "ccxt_release").where("ccxt_version is not null").groupBy("ccxt_version").agg(F.min("released_at").alias("at"))))
+    order = Window.partitionBy("exchange").orderBy("at", "ccxt_version")
+    placed = durable(texts.join(releases, "ccxt_version").withColumn("next_version", F.lead("ccxt_version").over(order)))
+    nodes = durable(D.node_rows(placed, id=["exchange", "ccxt_version", "next_version"], text="text"))
+    then = nodes.where("next_version is not null").drop("ccxt_version").withColumnRenamed("next_version", "ccxt_version")
+    found = D.parity(nodes.drop("next_version"), then, id=["exchange", "ccxt_version"])
+    every = placed.select("exchange").distinct().crossJoin(releases).join(placed.select("exchange", "ccxt_version", F.col("ccxt_version").alias("own")), ["exchange", "ccxt_version"], "left")
+    before = every.withColumn("prev_version", F.last("own", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))).where("own is not null or prev_version is not null")
+    return before.join(found, ["exchange", "ccxt_version"], "left").select(
+        "exchange", "ccxt_version", "prev_version", F.coalesce("status", F.lit("missing")).alias("status"), F.coalesce("n_paths", F.lit(0).cast("long")).alias("n_paths")
+    )
 
 
 def _leaves(spark, d, version):

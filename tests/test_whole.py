@@ -54,3 +54,20 @@ def test_calls_to_earlier_names_and_cycles(spark, tmp_path):
     want = {(ring[i], ring[(i + k) % 5], k) for i in range(5) for k in range(5)}
     assert {(r.start, r.node, r.hops) for r in run(spark, "call_fixpoint", d).collect()} == want
     assert {(r.start, r.node, r.hops) for r in run(spark, "call_reach_depth", d).collect()} == {w for w in want if w[2] <= 3}
+
+
+FIXTURES = "fixture_no long, exchange string, ccxt_version string, cases array<struct<name:string>>, skipped array<struct<name:string,reason:string>>"
+RELEASES = ([(v, dt.datetime(2025, m, 1)) for v, m in (("4.7.9", 1), ("4.7.10", 2), ("4.8.10", 3), ("4.9.0", 4))], "ccxt_version string, released_at timestamp_ntz")
+
+
+def test_fixtures_against_the_latest_before(spark, tmp_path):
+    rows = [
+        (1, "x", "4.7.9", [("a",)], []), (2, "x", "4.7.10", [("b",)], []), (3, "x", "4.9.0", [("old",)], []), (4, "x", "4.9.0", [("b",)], []),
+        (5, "y", "4.8.10", [("a",)], []), (6, "z", "9.9.9", [], []), (7, None, "4.9.0", [], []), (8, "w", "4.9.0", None, None),
+    ]
+    d = write(spark, tmp_path, signing_fixture=(rows, FIXTURES), ccxt_release=RELEASES)
+    got = {(r.exchange, r.ccxt_version): (r.prev_version, r.status, r.n_paths) for r in run(spark, "fixture_parity", d).collect()}
+    assert got == {
+        ("x", "4.7.9"): (None, "extra", 0), ("x", "4.7.10"): ("4.7.9", "drift", 1), ("x", "4.8.10"): ("4.7.10", "missing", 0), ("x", "4.9.0"): ("4.7.10", "match", 0),
+        ("y", "4.8.10"): (None, "extra", 0), ("y", "4.9.0"): ("4.8.10", "missing", 0), ("w", "4.9.0"): (None, "extra", 0),
+    }
