@@ -296,10 +296,18 @@ def drift_new(spark, d):
 
 
 def determinism(spark, d):
+    """Planted faults, as its SQL has them; ``output_determinism`` compares what was delivered."""
     t = read_table(spark, d, "exchange_output")
     return D.determinism(t.select("record_no", "auth"), t.where("record_no % 7 <> 3").select("record_no", F.when(F.col("record_no") % 7 == 1, F.concat("auth", F.lit(" "))).otherwise(F.col("auth")).alias("auth")), id="record_no", text="auth")
 
 
+def output_determinism(spark, d):
+    """Each output against the next one of the same exchange and release, by record_no; the last has none (missing_second)."""
+    t = read_table(spark, d, "exchange_output").select("record_no", "exchange", "ccxt_version", F.to_json(F.struct("endpoints", "auth", "websocket"), {"ignoreNullFields": "false"}).alias("text"))
+    later = t.withColumn("before", F.lag("record_no").over(Window.partitionBy("exchange", "ccxt_version").orderBy("record_no")))
+    return D.determinism(t.select("record_no", "text"), later.where("before is not null").select(F.col("before").alias("record_no"), "text"), id="record_no", text="text")
+
+
 def list_override_audit(spark, d):
     t = read_table(spark, d, "class_hierarchy")
     best = t.groupBy(F.col("node_key").alias("id")).agg(F.max_by("methods", F.struct("extracted_at", F.size("methods"))).alias("value"), F.max("method_count").alias("n")).withColumn("path", F.lit("/m"))
@@ -362,13 +370,21 @@ def status_classes(spark, d):
 
 
 def order_invariants(spark, d):
-    """Lines whose order is missing, and orders whose customer is."""
+    """Lines whose order is missing, and orders whose customer is, with planted gaps as its SQL has them; ``order_orphans`` has none."""
     lines, orders, customers = (read_table(spark, d, t) for t in ("lineitem", "orders", "customer"))
     a = V.subset_violations(lines.select(F.col("l_orderkey").alias("k")), orders.where("o_orderkey % 11 <> 0").select(F.col("o_orderkey").alias("k")), on=["k"])
     b = V.subset_violations(orders.select(F.col("o_custkey").alias("k")), customers.where("c_custkey % 13 <> 0").select(F.col("c_custkey").alias("k")), on=["k"])
     return a.withColumn("rule", F.lit("line_has_order")).unionByName(b.withColumn("rule", F.lit("order_has_customer"))).groupBy("rule").agg(F.count("*").alias("n"))
 
 
+def order_orphans(spark, d):
+    """Lines whose order is missing, and orders whose customer is, over the whole tables; 0 where there are none."""
+    lines, orders, customers = (read_table(spark, d, t) for t in ("lineitem", "orders", "customer"))
+    a = V.subset_violations(lines.select(F.col("l_orderkey").alias("k")), orders.select(F.col("o_orderkey").alias("k")), on=["k"])
+    b = V.subset_violations(orders.select(F.col("o_custkey").alias("k")), customers.select(F.col("c_custkey").alias("k")), on=["k"])
+    return V.rollup(a.select(F.lit("line_has_order").alias("rule")).unionByName(b.select(F.lit("order_has_customer").alias("rule"))), ["line_has_order", "order_has_customer"])
+
+
 def entry_faults(spark, d):
     """Faults of override entries made of documents."""
     t = read_table(spark, d, "documents").select(
@@ -384,8 +400,8 @@ QUERIES = {
         tree_children, ancestor_closure, root_ancestor, tier_expansion, nearest_stream_method, parent_fallback, parent_map_merge, override_status, error_buckets,
         scope_closure, call_reach, call_reach_depth, call_fixpoint, alias_exclusion, scoped_markets, missing_datasets, closest_nations, tier_lookup, scope_stamps, vocabulary, assembly, kind_pivot,
         upsert_customers, envelope_counts, manifest_check, first_attempts, content_hashes, market_spot_check, precision_key_diff, fixture_parity, drift_flipped,
-        drift_stale, drift_new, determinism, list_override_audit, event_json, patched_events, pointer_translation, name_forms, channel_placeholders, bucket_limits,
-        dead_paths, status_classes, order_invariants, entry_faults,
+        drift_stale, drift_new, determinism, output_determinism, list_override_audit, event_json, patched_events, pointer_translation, name_forms, channel_placeholders, bucket_limits,
+        dead_paths, status_classes, order_invariants, order_orphans, entry_faults,
     )
 }
 
@@ -466,6 +482,9 @@ SELECT q.id, q.path, q.source FROM q LEFT JOIN a x ON x.id = q.id AND x.path = q
     "drift_new": f"""WITH a AS (SELECT id, CASE WHEN path = '/market_type' THEN '/base/kind' ELSE path END AS path FROM {_LEAF('4.10.1')}), n AS (SELECT a.* FROM a ANTI JOIN {_LEAF('4.7.8')} b ON b.id = a.id AND b.path = a.path)
 SELECT id, path FROM n WHERE NOT EXISTS (SELECT 1 FROM n o WHERE o.id = n.id AND starts_with(n.path, o.path || '/'))""",
     "determinism": "SELECT record_no, CASE WHEN record_no % 7 = 3 THEN 'missing_second' WHEN record_no % 7 = 1 AND auth IS NOT NULL THEN 'diverged' ELSE 'equal' END AS status FROM exchange_output",
+    "output_determinism": """WITH t AS (SELECT record_no, {'e': endpoints, 'a': auth, 'w': websocket} AS v, row_number() OVER (PARTITION BY exchange, ccxt_version ORDER BY record_no) AS i, exchange, ccxt_version FROM exchange_output)
+SELECT a.record_no, CASE WHEN b.record_no IS NULL THEN 'missing_second' WHEN a.v IS NOT DISTINCT FROM b.v THEN 'equal' ELSE 'diverged' END AS status
+FROM t a LEFT JOIN t b ON b.exchange IS NOT DISTINCT FROM a.exchange AND b.ccxt_version IS NOT DISTINCT FROM a.ccxt_version AND b.i = a.i + 1""",
     "list_override_audit": """WITH b AS (SELECT node_key, arg_max(methods, (extracted_at, len(methods))) AS v, max(method_count) AS n FROM class_hierarchy WHERE methods IS NOT NULL GROUP BY 1),
 o AS (SELECT node_key, list_sort(list_distinct(CASE n % 3 WHEN 0 THEN v WHEN 1 THEN v[:1] ELSE ['zz'] END)) AS o, CASE WHEN n > 0 THEN list_sort(list_distinct(v)) END AS d FROM b)
 SELECT CASE WHEN d IS NULL THEN 'unverified' WHEN o = d THEN 'warning' WHEN list_has_all(d, o) THEN 'verified' ELSE 'mismatch' END AS status, count(*) AS n FROM o WHERE o IS NOT NULL GROUP BY 1""",
@@ -486,6 +505,8 @@ SELECT p_partkey, round(CASE WHEN rate > 0 THEN 1000.0::DOUBLE / rate END, 6) AS
     "status_classes": "SELECT status, string_agg(DISTINCT x, ',' ORDER BY x) AS classes FROM (SELECT o_orderkey % 7 AS status, o_orderpriority || ':' || o_orderstatus AS x FROM orders) GROUP BY status",
     "order_invariants": """SELECT 'line_has_order' AS rule, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 11 <> 0)
 UNION ALL SELECT 'order_has_customer', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 13 <> 0)""",
+    "order_orphans": """SELECT 'line_has_order' AS rule, count(*) AS n FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
+UNION ALL SELECT 'order_has_customer', count(*) FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)""",
     "entry_faults": """WITH t AS (SELECT source AS id, ccxt_version AS sv, CASE WHEN doc_id % 3 > 0 THEN '/' ELSE '' END || coalesce(lang, '') AS path, substring(text, 1, 3) AS reason, CASE WHEN doc_id % 2 = 0 THEN exchange END AS va, doc_id % 4 = 0 AS unv FROM documents),
 f AS (SELECT 'schema_version' AS fault FROM t WHERE sv IS DISTINCT FROM '4.9.0' UNION ALL SELECT 'path' FROM t WHERE NOT starts_with(path, '/') UNION ALL SELECT 'reason' FROM t WHERE coalesce(trim(reason, ' '), '') = ''
   UNION ALL SELECT 'exclusive' FROM t WHERE va IS NOT NULL AND coalesce(unv, false) UNION ALL SELECT 'duplicate_path' FROM (SELECT 1 FROM t GROUP BY id, path HAVING count(*) > 1))

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import __spark_entry__ as entry
+from lamella.operators.families import round_trip
 
 
 def write(spark, path, **tables):
@@ -71,3 +72,31 @@ def test_fixtures_against_the_latest_before(spark, tmp_path):
         ("x", "4.7.9"): (None, "extra", 0), ("x", "4.7.10"): ("4.7.9", "drift", 1), ("x", "4.8.10"): ("4.7.10", "missing", 0), ("x", "4.9.0"): ("4.7.10", "match", 0),
         ("y", "4.8.10"): (None, "extra", 0), ("y", "4.9.0"): ("4.8.10", "missing", 0), ("w", "4.9.0"): (None, "extra", 0),
     }
+
+
+def test_orphans_are_those_of_the_tables(spark, tmp_path):
+    d = write(
+        spark, tmp_path, lineitem=([(11,), (22,), (22,), (3,)], "l_orderkey long"), orders=([(11, 13), (22, 13), (4, 99)], "o_orderkey long, o_custkey long"),
+        customer=([(13,)], "c_custkey long"),
+    )
+    assert {(r.rule, r.n) for r in run(spark, "order_orphans", d).collect()} == {("line_has_order", 1), ("order_has_customer", 1)}
+
+
+OUTPUTS = "record_no long, exchange string, ccxt_version string, endpoints string, auth string, websocket string"
+
+
+def test_outputs_as_delivered(spark, tmp_path):
+    rows = [
+        (1, "x", "v", "{}", "1", None), (3, "x", "v", "{}", "1", None), (7, "x", "v", "{}", "1 ", None), (8, "x", "w", "{}", "1", None),
+        (10, None, "v", "{}", None, "3"), (14, None, "v", "{}", None, "4"), (20, "y", None, '{"b": 1, "a": [1.50, null]}', "{", ""),
+    ]
+    d = write(spark, tmp_path, exchange_output=(rows, OUTPUTS))
+    got = {r.record_no: r.status for r in run(spark, "output_determinism", d).collect()}
+    assert got == {1: "equal", 3: "diverged", 7: "missing_second", 8: "missing_second", 10: "diverged", 14: "missing_second", 20: "missing_second"}
+    assert run(spark, "output_round_trip", d).collect() == []
+
+
+def test_planted_faults_of_a_round_trip(spark):
+    source = spark.createDataFrame([(7, "{}", "1"), (10, "{}", None), (11, '{"a":1,"b":2}', "1")], "record_no long, endpoints string, auth string")
+    output = spark.createDataFrame([(7, "{}", None), (11, '{"b": 2, "a": 1}', "1")], source.schema)
+    assert {(r.record_no, r.section) for r in round_trip(output, source, id="record_no", sections=["endpoints", "auth"]).collect()} == {(7, "auth"), (10, "endpoints")}
