@@ -29,6 +29,11 @@ def p5_descendants(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p5_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """All descendants of each node of both tables: (tree_no, ancestor, descendant, distance)."""
+    return H.descendants(class_nodes(spark, d))
+
+
 def p5_cycles(spark: SparkSession, d: str) -> DataFrame:
     """Per cycle its smallest key and the nodes that are on it or run into it."""
     return p5_found(spark, d).where("depth = -1").groupBy("tree_no", "root_key").agg(F.count("*").alias("nodes"))
@@ -63,7 +68,7 @@ SELECT * FROM down
 UNION ALL
 SELECT tree_no, node_key, list_min(seen[list_position(seen, seen[-1]):]), -1, '' FROM up WHERE closed"""
 
-QUERIES = {"p5_found": p5_found, "p5_descendants": p5_descendants, "p5_cycles": p5_cycles}
+QUERIES = {"p5_found": p5_found, "p5_descendants": p5_descendants, "p5_pairs": p5_pairs, "p5_cycles": p5_cycles}
 SQL = {
     "p5_found": FOUND_SQL,
     "p5_descendants": f"""
@@ -73,5 +78,12 @@ pairs AS (
   UNION ALL
   SELECT p.tree_no, n.parent, p.d, distance + 1 FROM pairs p JOIN nodes n ON n.tree_no = p.tree_no AND n.node_key = p.node_key WHERE n.parent IS NOT NULL)
 SELECT tree_no, node_key, count(*) AS descendants, count(*) FILTER (distance = 1) AS children, max(distance)::BIGINT AS height FROM pairs GROUP BY ALL""",
+    "p5_pairs": f"""
+WITH RECURSIVE {NODES_SQL},
+pairs AS (
+  SELECT tree_no, parent AS ancestor, node_key AS descendant, 1::BIGINT AS distance FROM nodes SEMI JOIN down USING (tree_no, node_key) WHERE parent IS NOT NULL
+  UNION ALL
+  SELECT p.tree_no, n.parent, descendant, distance + 1 FROM pairs p JOIN nodes n ON n.tree_no = p.tree_no AND n.node_key = p.ancestor WHERE n.parent IS NOT NULL)
+SELECT * FROM pairs""",
     "p5_cycles": f"SELECT tree_no, root_key, count(*) AS nodes FROM ({FOUND_SQL}) WHERE depth = -1 GROUP BY ALL",
 }

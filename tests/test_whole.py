@@ -100,3 +100,11 @@ def test_planted_faults_of_a_round_trip(spark):
     source = spark.createDataFrame([(7, "{}", "1"), (10, "{}", None), (11, '{"a":1,"b":2}', "1")], "record_no long, endpoints string, auth string")
     output = spark.createDataFrame([(7, "{}", None), (11, '{"b": 2, "a": 1}', "1")], source.schema)
     assert {(r.record_no, r.section) for r in round_trip(output, source, id="record_no", sections=["endpoints", "auth"]).collect()} == {(7, "auth"), (10, "endpoints")}
+
+
+def test_descendants_of_both_tables(spark, tmp_path):
+    classes = [(n, p, n, "rest", "f", None, None, 0, dt.datetime(2025, 1, 1)) for n, p in (("a", None), ("b", "a"), ("c", "b"), ("s", "s"))]
+    trees = [(7, {"E": [], "F": ["E"], "G": ["F", "E"]})]
+    d = write(spark, tmp_path, class_hierarchy=(classes, CLASSES), error_class_hierarchy=(trees, "tree_no long, ancestors map<string,array<string>>"))
+    got = {(r.tree_no, r.ancestor, r.descendant, r.distance) for r in run(spark, "p5_pairs", d).collect()}
+    assert got == {(0, "a", "b", 1), (0, "a", "c", 2), (0, "b", "c", 1), (7, "E", "F", 1), (7, "E", "G", 2), (7, "F", "G", 1)}
