@@ -12,9 +12,11 @@ from lamella.operators import patch as P
 from lamella.operators import resolve as R
 from lamella.operators import rules as V
 from lamella.operators import scope as S
+from lamella.operators import snapshots as SN
 from lamella.operators import upsert as U
 from lamella.operators.references import normal_key
 from lamella.plans.analytics_queries import ENTITY_SQL, _key, coverage_rows
+from lamella.plans.change_queries import LOADS_SQL
 from lamella.plans.runtime import broadcast_if_small, durable, read_table
 
 
@@ -243,6 +245,28 @@ def market_spot_check(spark, d):
     return D.spot_check(m.where("ccxt_version = '4.7.8'").drop("ccxt_version"), m.where("ccxt_version = '4.10.1'").drop("ccxt_version"), group="exchange", key="symbol")
 
 
+def consecutive_loads(spark, d):
+    """(exchange, ccxt_version, prev_version) of the loads that count, in release order; the first has no earlier one."""
+    loads = SN.counting_snapshots(read_table(spark, d, "load_manifest"), read_table(spark, d, "ccxt_release"))
+    return broadcast_if_small(durable(loads.select("exchange", "ccxt_version", "prev_version", "next_version")))
+
+
+def _both_sides(rows, loads):
+    """Rows of each load, and the same rows under the version of the load after it."""
+    placed = rows.join(loads, ["exchange", "ccxt_version"])
+    now = placed.where("prev_version is not null").drop("prev_version", "next_version")
+    then = placed.where("next_version is not null").drop("prev_version", "ccxt_version").withColumnRenamed("next_version", "ccxt_version")
+    return now, then
+
+
+def market_load_changes(spark, d):
+    """Symbols of every counting load against the load before it of the same exchange; first loads have no row."""
+    m = read_table(spark, d, "load_markets").select("exchange", "symbol", "ccxt_version").distinct()
+    now, then = _both_sides(m, consecutive_loads(spark, d))
+    key = lambda t: t.select(F.struct("exchange", "ccxt_version").alias("load"), "symbol")
+    return D.spot_check(key(then), key(now), group="load", key="symbol").select("load.*", "left_n", "right_n", "removed", "added")
+
+
 def precision_key_diff(spark, d):
     """Keys of precisions that differ between the first and last row of a market."""
     m = read_table(spark, d, "load_markets").where("symbol is not null")
@@ -295,6 +319,35 @@ def drift_new(spark, d):
     return D.new_paths(now.withColumn("path", F.regexp_replace("path", "^/market_type$", "/base/kind")), then)
 
 
+def _load_leaves(spark, d):
+    """Leaves of the markets of each counting load but the first, and those of the load before it under the same id."""
+    t = read_table(spark, d, "load_markets").where("symbol is not null")
+    one = t.groupBy("exchange", "ccxt_version", "symbol").agg(F.max_by(F.struct("base", "quote", "market_type"), "row_no").alias("r"))
+    cells = F.explode(F.array(*[F.struct(F.lit(f"/{c}").alias("path"), F.col(f"r.{c}").alias("value")) for c in ("base", "quote", "market_type")]))
+    sides = _both_sides(one, consecutive_loads(spark, d))
+    return [x.select(F.struct("exchange", "ccxt_version", "symbol").alias("id"), cells.alias("s")).select("id", "s.*") for x in sides]
+
+
+def load_drift_flipped(spark, d):
+    """``drift_flipped`` between all consecutive counting loads."""
+    now, then = _load_leaves(spark, d)
+    tags = spark.createDataFrame([("/base", "raw"), ("/quote", "derived"), ("/market_type", "derived")], "path string, tag string")
+    return D.flipped_derived(now, then, tags).select("id.*", "path", "before", "after")
+
+
+def load_drift_stale(spark, d):
+    """``drift_stale`` between all consecutive counting loads."""
+    now, then = _load_leaves(spark, d)
+    sources = spark.createDataFrame([("/market_type", "/base")], "path string, source string")
+    return D.stale_overrides(now.where("path = '/market_type'").select("id", "path"), now, then, sources).select("id.*", "path", "source")
+
+
+def load_drift_new(spark, d):
+    """``drift_new`` between all consecutive counting loads."""
+    now, then = _load_leaves(spark, d)
+    return D.new_paths(now.withColumn("path", F.regexp_replace("path", "^/market_type$", "/base/kind")), then).select("id.*", "path")
+
+
 def determinism(spark, d):
     """Planted faults, as its SQL has them; ``output_determinism`` compares what was delivered."""
     t = read_table(spark, d, "exchange_output")
@@ -399,8 +452,8 @@ QUERIES = {
     for f in (
         tree_children, ancestor_closure, root_ancestor, tier_expansion, nearest_stream_method, parent_fallback, parent_map_merge, override_status, error_buckets,
         scope_closure, call_reach, call_reach_depth, call_fixpoint, alias_exclusion, scoped_markets, missing_datasets, closest_nations, tier_lookup, scope_stamps, vocabulary, assembly, kind_pivot,
-        upsert_customers, envelope_counts, manifest_check, first_attempts, content_hashes, market_spot_check, precision_key_diff, fixture_parity, drift_flipped,
-        drift_stale, drift_new, determinism, output_determinism, list_override_audit, event_json, patched_events, pointer_translation, name_forms, channel_placeholders, bucket_limits,
+        upsert_customers, envelope_counts, manifest_check, first_attempts, content_hashes, market_spot_check, market_load_changes, precision_key_diff, fixture_parity, drift_flipped,
+        drift_stale, drift_new, load_drift_flipped, load_drift_stale, load_drift_new, determinism, output_determinism, list_override_audit, event_json, patched_events, pointer_translation, name_forms, channel_placeholders, bucket_limits,
         dead_paths, status_classes, order_invariants, order_orphans, entry_faults,
     )
 }
@@ -411,6 +464,9 @@ _LEAF = lambda v: f"""(SELECT exchange || '|' || symbol AS id, unnest([struct_pa
 _BUCKET = "CASE " + " ".join(f"WHEN anc = '{c}' THEN {i}" for i, (_, c) in enumerate(BUCKETS)) + " END"
 _CALLS = """edges AS (SELECT DISTINCT z[1] AS src, z[2] AS dst FROM (SELECT unnest(list_zip(methods[1:len(methods) - 1], methods[2:])) AS z FROM class_hierarchy WHERE len(methods) > 1) WHERE z[1] IS NOT NULL AND z[2] IS NOT NULL),
 walk AS (SELECT DISTINCT src AS start, src AS node, 0 AS hops FROM edges UNION SELECT start, dst, hops + 1 FROM walk JOIN edges ON src = node"""
+_LOAD_LEAVES = f"""{LOADS_SQL}, leaf AS (SELECT exchange, seq, symbol, unnest([struct_pack(path := '/base', value := r.base), struct_pack(path := '/quote', value := r.quote), struct_pack(path := '/market_type', value := r.market_type)], recursive := true)
+  FROM (SELECT m.exchange, l.seq, m.symbol, arg_max(struct_pack(base := base, quote := quote, market_type := market_type), row_no) AS r FROM load_markets m JOIN loads l ON l.exchange = m.exchange AND l.ccxt_version = m.ccxt_version WHERE symbol IS NOT NULL GROUP BY ALL)),
+a AS (SELECT * FROM leaf WHERE seq > 1), b AS (SELECT exchange, seq + 1 AS seq, symbol, path, value FROM leaf)"""
 _NAMES = "['" + "', '".join(b for b, _ in BUCKETS) + "']"
 SQL = {
     "tree_children": f"WITH {EDGES_SQL} SELECT parent, count(*) AS n, string_agg(node, ',' ORDER BY node) AS children FROM edges WHERE parent IS NOT NULL GROUP BY parent",
@@ -473,6 +529,11 @@ SELECT coalesce(m.id, f.id) AS id, CASE WHEN m.id IS NULL THEN 'orphan' WHEN f.i
     "content_hashes": "SELECT record_no, sha256(websocket) AS sha256 FROM exchange_output",
     "market_spot_check": """WITH s AS (SELECT exchange, symbol, bool_or(ccxt_version = '4.7.8') AS l, bool_or(ccxt_version = '4.10.1') AS r FROM load_markets WHERE ccxt_version IN ('4.7.8', '4.10.1') GROUP BY ALL)
 SELECT exchange, count(*) FILTER (l) AS left_n, count(*) FILTER (r) AS right_n, count(*) FILTER (NOT r) AS removed, count(*) FILTER (NOT l) AS added FROM s GROUP BY exchange""",
+    "market_load_changes": f"""WITH {LOADS_SQL}, m AS (SELECT DISTINCT exchange, ccxt_version, symbol FROM load_markets),
+p AS (SELECT m.exchange, m.symbol, l.seq FROM m JOIN loads l ON l.exchange = m.exchange AND l.ccxt_version = m.ccxt_version),
+s AS (SELECT exchange, symbol, seq, bool_or(o) AS l, bool_or(NOT o) AS r FROM (SELECT exchange, symbol, seq, false AS o FROM p WHERE seq > 1 UNION ALL SELECT exchange, symbol, seq + 1, true FROM p) GROUP BY ALL)
+SELECT s.exchange, l.ccxt_version, count(*) FILTER (s.l) AS left_n, count(*) FILTER (s.r) AS right_n, count(*) FILTER (NOT s.r) AS removed, count(*) FILTER (NOT s.l) AS added
+FROM s JOIN loads l ON l.exchange = s.exchange AND l.seq = s.seq GROUP BY ALL""",
     "precision_key_diff": """WITH e AS (SELECT exchange, symbol, arg_min(struct_pack(p := precisions), row_no).p AS a, arg_max(struct_pack(p := precisions), row_no).p AS b FROM load_markets WHERE symbol IS NOT NULL GROUP BY ALL)
 SELECT exchange, symbol, array_to_string(list_sort(list_filter(list_distinct(list_concat(coalesce(map_keys(a), []), coalesce(map_keys(b), []))), lambda k: a[k] IS DISTINCT FROM b[k])), ',') AS keys FROM e""",
     "drift_flipped": f"""SELECT coalesce(a.id, b.id) AS id, coalesce(a.path, b.path) AS path, b.value AS before, a.value AS after FROM {_LEAF('4.10.1')} a FULL JOIN {_LEAF('4.7.8')} b ON a.id = b.id AND a.path = b.path
@@ -481,6 +542,15 @@ WHERE coalesce(a.path, b.path) IN ('/quote', '/market_type') AND a.value IS DIST
 SELECT q.id, q.path, q.source FROM q LEFT JOIN a x ON x.id = q.id AND x.path = q.source LEFT JOIN b y ON y.id = q.id AND y.path = q.source WHERE x.value IS DISTINCT FROM y.value""",
     "drift_new": f"""WITH a AS (SELECT id, CASE WHEN path = '/market_type' THEN '/base/kind' ELSE path END AS path FROM {_LEAF('4.10.1')}), n AS (SELECT a.* FROM a ANTI JOIN {_LEAF('4.7.8')} b ON b.id = a.id AND b.path = a.path)
 SELECT id, path FROM n WHERE NOT EXISTS (SELECT 1 FROM n o WHERE o.id = n.id AND starts_with(n.path, o.path || '/'))""",
+    "load_drift_flipped": f"""WITH {_LOAD_LEAVES}, j AS (SELECT exchange, seq, symbol, path, b.value AS before, a.value AS after FROM a FULL JOIN b USING (exchange, seq, symbol, path))
+SELECT j.exchange, l.ccxt_version, symbol, path, before, after FROM j JOIN loads l ON l.exchange = j.exchange AND l.seq = j.seq WHERE path IN ('/quote', '/market_type') AND before IS DISTINCT FROM after""",
+    "load_drift_stale": f"""WITH {_LOAD_LEAVES}, q AS (SELECT exchange, seq, symbol, path, s AS source FROM a, (VALUES ('/market_type'), ('/base')) v(s) WHERE path = '/market_type')
+SELECT q.exchange, l.ccxt_version, q.symbol, q.path, q.source FROM q JOIN loads l ON l.exchange = q.exchange AND l.seq = q.seq
+LEFT JOIN a x ON x.exchange = q.exchange AND x.seq = q.seq AND x.symbol = q.symbol AND x.path = q.source LEFT JOIN b y ON y.exchange = q.exchange AND y.seq = q.seq AND y.symbol = q.symbol AND y.path = q.source WHERE x.value IS DISTINCT FROM y.value""",
+    "load_drift_new": f"""WITH {_LOAD_LEAVES}, k AS (SELECT exchange, seq, symbol, CASE WHEN path = '/market_type' THEN '/base/kind' ELSE path END AS path FROM a),
+n AS (SELECT k.* FROM k ANTI JOIN b USING (exchange, seq, symbol, path))
+SELECT n.exchange, l.ccxt_version, symbol, path FROM n JOIN loads l ON l.exchange = n.exchange AND l.seq = n.seq
+WHERE NOT EXISTS (SELECT 1 FROM n o WHERE o.exchange = n.exchange AND o.seq = n.seq AND o.symbol = n.symbol AND starts_with(n.path, o.path || '/'))""",
     "determinism": "SELECT record_no, CASE WHEN record_no % 7 = 3 THEN 'missing_second' WHEN record_no % 7 = 1 AND auth IS NOT NULL THEN 'diverged' ELSE 'equal' END AS status FROM exchange_output",
     "output_determinism": """WITH t AS (SELECT record_no, {'e': endpoints, 'a': auth, 'w': websocket} AS v, row_number() OVER (PARTITION BY exchange, ccxt_version ORDER BY record_no) AS i, exchange, ccxt_version FROM exchange_output)
 SELECT a.record_no, CASE WHEN b.record_no IS NULL THEN 'missing_second' WHEN a.v IS NOT DISTINCT FROM b.v THEN 'equal' ELSE 'diverged' END AS status

@@ -108,3 +108,19 @@ def test_descendants_of_both_tables(spark, tmp_path):
     d = write(spark, tmp_path, class_hierarchy=(classes, CLASSES), error_class_hierarchy=(trees, "tree_no long, ancestors map<string,array<string>>"))
     got = {(r.tree_no, r.ancestor, r.descendant, r.distance) for r in run(spark, "p5_pairs", d).collect()}
     assert got == {(0, "a", "b", 1), (0, "a", "c", 2), (0, "b", "c", 1), (7, "E", "F", 1), (7, "E", "G", 2), (7, "F", "G", 1)}
+
+
+def test_changes_between_all_loads(spark, tmp_path):
+    loads = [("x", v, "succeeded", dt.datetime(2025, 5, 1)) for v in ("4.7.9", "4.7.10", "4.9.0")] + [("x", "4.8.10", "failed", dt.datetime(2025, 5, 1)), ("y", "4.9.0", "succeeded", None)]
+    symbols = {"4.7.9": ["A", "B"], "4.7.10": ["A", "C", None], "4.8.10": ["Q"], "4.9.0": ["A", "B"]}
+    rows = [market(i, version=v, symbol=s) for v, many in symbols.items() for i, s in enumerate(many)] + [market(9, version="4.9.0", exchange="y")]
+    d = write(
+        spark, tmp_path, load_markets=(rows, MARKETS), ccxt_release=RELEASES,
+        load_manifest=(loads, "exchange string, ccxt_version string, status string, finished_at timestamp_ntz"),
+    )
+    got = {(r.exchange, r.ccxt_version): (r.left_n, r.right_n, r.removed, r.added) for r in run(spark, "market_load_changes", d).collect()}
+    assert got == {("x", "4.7.10"): (2, 3, 1, 2), ("x", "4.9.0"): (3, 2, 2, 1)}
+    flipped = {(r.ccxt_version, r.symbol, r.path) for r in run(spark, "load_drift_flipped", d).collect()}
+    assert flipped == {(v, s, p) for v in ("4.7.10", "4.9.0") for s in "BC" for p in ("/quote", "/market_type")}
+    assert {(r.ccxt_version, r.symbol, r.source) for r in run(spark, "load_drift_stale", d).collect()} == {(v, s, p) for v, s in (("4.7.10", "C"), ("4.9.0", "B")) for p in ("/base", "/market_type")}
+    assert {(r.ccxt_version, r.symbol) for r in run(spark, "load_drift_new", d).where("path = '/base'").collect()} == {("4.7.10", "C"), ("4.9.0", "B")}
