@@ -59,3 +59,53 @@ def test_empty_table_and_report(spark):
     docs = spark.createDataFrame([(1, "a b", "s"), (2, " ", "s"), (3, "c", None)], "doc_id long, text string, source string")
     got = {(r.source, r.texts, r.cut) for r in U.truncation_report(docs, docs.select("doc_id").where("doc_id = 3")).collect()}
     assert got == {("s", 1, 0), (None, 1, 1)}
+
+
+def test_sign_offs_whose_word_goes_on_inside_sentences(spark):
+    rnd = random.Random(3)
+    rows = [(i, f"{sentence(rnd)} The Ops desk of the {rnd.choice(WORDS)} waits. {sentence(rnd)}\n\nBest,\nOps", "mail") for i in range(60)]
+    rows += [(100 + i, f"{sentence(rnd)} {sentence(rnd)}\nThanks", "mail") for i in range(20)]
+    rows += [(200, f"{sentence(rnd)} The Ops", "mail"), (201, f"{sentence(rnd)} The Ops de", "mail")]
+    assert found(spark, corpus() + [(5000 + i, t, s) for i, t, s in rows]) == [5200, 5201]
+
+
+def test_lines_that_are_never_last(spark):
+    rnd = random.Random(4)
+    rows = [(i, "\n".join([" * @param " + sentence(rnd).rstrip(".") for _ in range(3)] + [" */"]), "doc") for i in range(40)]
+    rows += [(100, "\n".join(" * @param " + sentence(rnd).rstrip(".") for _ in range(3)), "doc")]
+    assert found(spark, rows) == [100]
+
+
+def test_followers_against_brute_force(spark):
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("ab") for _ in range(rnd.randrange(1, 6))) for _ in range(300)]
+    passages = {f"1{w}{rnd.choice([U.GOES_ON, U.ENDS, U.OPEN])}": rnd.randrange(1, 4) for w in words}
+    asked = sorted({"1" + w for w in words[:80]} | {"1abab", "1b", "2", "1", "zz"})
+    want = {}
+    for t in asked:
+        counts = [0, 0, 0, 0]
+        for v, n in passages.items():
+            if v.startswith(t):
+                counts[U._kind(v[len(t)])] += n
+        want[t] = tuple(counts)
+    for width in ("1", "5", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        try:
+            got = U.followers(spark.createDataFrame(sorted(passages.items()), "value string, n long"), spark.createDataFrame([(t,) for t in asked], "value string"))
+            assert {r[0]: tuple(r)[1:] for r in got.collect()} == want
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_copies_of_a_text_count_once(spark):
+    rows = corpus() + [(1000 + i, "The market returns a header before the cursor expires. The market ret", "notes") for i in range(300)]
+    assert found(spark, rows) == list(range(1000, 1300))
+
+
+def test_a_longer_text_where_the_trail_tells_nothing(spark):
+    rows = corpus() + [(1000, "Zyx qwv unheard", "notes"), (1001, "Zyx qwv unheard-of things happen.", "notes"), (1002, "q", "notes"), (1003, "Zz", "notes")]
+    assert 1000 in found(spark, rows) and 1003 not in found(spark, rows)
+    df = spark.createDataFrame([(1, 1, "abcde"), (2, 2, "abcdefg"), (3, 3, "x"), (4, 4, "abcdf"), (5, 5, "xylophone")], "h1 long, h2 long, text string")
+    ends = spark.createDataFrame([(1, 1, 5), (3, 3, 1), (4, 4, 5)], "h1 long, h2 long, n_bare long")
+    assert sorted(r.h1 for r in U.longer_copies(df, ends).collect()) == [1, 3]
+    assert U.longer_copies(df, ends.limit(0)).collect() == []
