@@ -1,9 +1,10 @@
 """Parent links to full hierarchies by contraction of partition-local chains.
 
 A *record* says how one node's path starts: the path before node ``id`` is the path
-before ``parent`` followed by the keys in ``seg`` (the lowest of which is ``low``),
-``w`` keys in all. At first ``seg`` is just the parent's key. A parent that has no
-record is a root. Contracting replaces chains by longer segments:
+before ``parent`` followed by ``seg``, which stands for ``w`` keys (the lowest of which is
+``low``). At first ``seg`` is just the parent's key. A parent that has no
+record is a root. What segments are and how they join is a :class:`Fold`: keys of a path, or
+one value that is taken down a path. Contracting replaces chains by longer segments:
 
 * records are laid out in key ranges, where related keys tend to be neighbours, and
   every chain inside a range is followed to its *exit*, the record whose parent lies
@@ -13,7 +14,8 @@ record is a root. Contracting replaces chains by longer segments:
   the same way;
 * paths of the smaller forest are then extended inside each range.
 
-Where ranges contract too little, a level of coin contraction by joins takes the
+The smaller forest's last level, of at most ``RECORDS_PER_TASK`` records, is solved in one
+task. Where ranges contract too little, a level of coin contraction by joins takes the
 place: records whose coin is 1 and whose parent's coin is 0 are bypassed, a quarter
 of them on average whatever the keys look like. Each level is written before the
 next begins.
@@ -21,9 +23,9 @@ next begins.
 
 from __future__ import annotations
 
-import bisect
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,32 +36,70 @@ from lamella.plans.runtime import durable
 
 #: Records that one task follows in memory.
 RECORDS_PER_TASK = 200_000
-#: Keys sampled for the bounds of the ranges; they decide speed, not results.
-SAMPLE = 50_000
 #: A level of ranges that leaves more than this share is followed by coin contraction.
 POOR = 0.7
 #: Characters of paths in one output batch.
 BATCH_CHARS = 4_000_000
 
-RECORD = "tree_no long, id string, parent string, w long, seg string, low string"
-SOLUTION = "tree_no long, id string, root string, depth long, prefix string, cyclic boolean"
-_CONTRACTED = "answer boolean, tree_no long, id string, top string, w long, seg string, low string, parent string, cycle string"
+RECORD = "tree_no long, id string, parent string, w long, seg string, low string, tag int"
+SOLUTION = "tree_no long, id string, root string, depth long, prefix string, cyclic boolean, tag int"
+_CONTRACTED = "answer boolean, tree_no long, id string, top string, w long, seg string, low string, parent string, cycle string, part int"
+
+
+@dataclass(frozen=True)
+class Fold:
+    """How segments join: ``path`` lines keys up by ``sep``; ``nearest`` keeps the lower of two that are not null, ``least`` the lesser."""
+
+    kind: str
+    sep: str = "/"
+
+    def joined(self, upper: Column, lower: Column) -> Column:
+        if self.kind == "path":
+            return F.concat_ws(self.sep, upper, lower)
+        return F.coalesce(lower, upper) if self.kind == "nearest" else F.least(upper, lower)
+
+    def prefix(self, seg: Column) -> Column:
+        return F.concat(seg, F.lit(self.sep)) if self.kind == "path" else seg
+
+    def step(self, above: str | None, seg: str | None) -> str | None:
+        """What goes on the stack of a path for one record: its own part of a path's text, or the value so far."""
+        if self.kind == "path":
+            return seg + self.sep
+        if above is None or seg is None:
+            return seg if above is None else above
+        return seg if self.kind == "nearest" else min(above, seg, key=str.encode)
+
+    def held(self, stack: list) -> str | None:
+        return "".join(stack) if self.kind == "path" else stack[-1]
+
+
+PATH = Fold("path")
 
 
 class _Local:
     """Chains among the records of one group."""
 
-    def __init__(self, g: pd.DataFrame, sep: str):
-        self.sep = sep
+    def __init__(self, g: pd.DataFrame, fold: Fold):
+        self.fold = fold
         self.tree, self.id = g["tree_no"].to_numpy(), g["id"].to_numpy(object)
         self.parent, self.seg, self.low = (g[c].to_numpy(object) for c in ("parent", "seg", "low"))
         self.w = g["w"].to_numpy(np.int64)
         n = self.n = len(g)
-        self.at = {k: i for i, k in enumerate(zip(self.tree.tolist(), self.id.tolist()))}
-        get = self.at.get
-        self.up = np.fromiter((get(k, n) for k in zip(self.tree.tolist(), self.parent.tolist())), np.int64, n)
+        self.trees = np.unique(self.tree)
+        self.index = pd.Index(self._named(self.tree, self.id))
+        up = self.index.get_indexer(self._named(self.tree, self.parent))
+        self.up = np.where(up < 0, n, up).astype(np.int64)
         self._cycles()
 
+    def _named(self, tree: np.ndarray, key: np.ndarray) -> np.ndarray | list:
+        return key if len(self.trees) == 1 else [f"{t}/{k}" for t, k in zip(tree.tolist(), key.tolist())]
+
+    def find(self, g: pd.DataFrame) -> np.ndarray:
+        """Positions of the (tree_no, id) rows of ``g`` that are records here."""
+        g = g[g["tree_no"].isin(self.trees)]
+        at = self.index.get_indexer(self._named(g["tree_no"].to_numpy(), g["id"].to_numpy(object))) if len(g) else np.array([], int)
+        return at[at >= 0]
+
     def _cycles(self) -> None:
         """``cycle[i]``: smallest key of the cycle that record i is on or runs into, else None."""
         n = self.n
@@ -82,26 +122,29 @@ class _Local:
             self.cycle[i] = of[int(jump[i])]
         self.free = jump[:n] == n
 
-    def walk(self, start: Callable[[int], str]) -> Iterator[tuple[int, int, int, str, list]]:
-        """Acyclic records from the exits down: (record, exit, keys below the exit's path, path text, lows).
+    def walk(self, start: Callable[[int], str | None]) -> Iterator[tuple[int, int, int, list, list]]:
+        """Acyclic records from the exits down: (record, exit, keys below the exit's path, stack of segments, lows).
 
         Depth first, so that only the path that is being followed is held.
         """
-        below: dict[int, list[int]] = {}
-        for i in np.flatnonzero(self.free & (self.up < self.n)).tolist():
-            below.setdefault(int(self.up[i]), []).append(i)
-        for top in np.flatnonzero(self.free & (self.up == self.n)).tolist():
-            text, weight, lows = [start(top)], [0], [None]
-            yield top, top, 0, text[0], lows
-            todo = [(c, 1) for c in below.get(top, ())]
+        n, step = self.n, self.fold.step
+        below = np.flatnonzero(self.free & (self.up < n))
+        below = below[np.argsort(self.up[below], kind="stable")]
+        first = np.searchsorted(self.up[below], np.arange(n + 1)).tolist()
+        kids, w, seg, low = below.tolist(), self.w.tolist(), self.seg, self.low
+        for top in np.flatnonzero(self.free & (self.up == n)).tolist():
+            stack, weight, lows = [start(top)], [0], [None]
+            yield top, top, 0, stack, lows
+            todo = [(c, 1) for c in kids[first[top] : first[top + 1]]]
             while todo:
                 i, d = todo.pop()
-                del text[d:], weight[d:], lows[d:]
-                text.append(self.seg[i] + self.sep)
-                weight.append(weight[-1] + int(self.w[i]))
-                lows.append(self.low[i])
-                yield i, top, weight[-1], text, lows
-                todo += [(c, d + 1) for c in below.get(i, ())]
+                del stack[d:], weight[d:], lows[d:]
+                stack.append(step(stack[-1], seg[i]))
+                weight.append(weight[-1] + w[i])
+                lows.append(low[i])
+                yield i, top, weight[-1], stack, lows
+                if first[i] < first[i + 1]:
+                    todo += [(c, d + 1) for c in kids[first[i] : first[i + 1]]]
 
 
 def _groups(batches: Iterator[pd.DataFrame], column: str) -> Iterator[pd.DataFrame]:
@@ -136,28 +179,30 @@ _SOLVED = [c.split()[0] for c in SOLUTION.split(", ")]
 _PARTS = [c.split()[0] for c in _CONTRACTED.split(", ")]
 
 
-def _solve_group(sep: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _solve_group(fold: Fold) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Solutions of records and, in ``kind`` 2, of exits that were solved elsewhere."""
 
     def rows(g: pd.DataFrame) -> Iterator[tuple]:
         own = g[g["kind"] == 0]
-        known = {(t, i): (r, int(d), p, c) for t, i, r, d, p, c in g.loc[g["kind"] == 2, _SOLVED].itertuples(index=False)}
-        x = _Local(own, sep)
+        x = _Local(own, fold)
+        tag, tree = own["tag"].tolist(), x.tree.tolist()
         for i in np.flatnonzero(~x.free).tolist():
-            yield int(x.tree[i]), x.id[i], x.cycle[i], -1, None, True
+            yield tree[i], x.id[i], x.cycle[i], -1, None, True, tag[i]
+        known = {k[:2]: k[2:] for k in g.loc[g["kind"] == 2, _SOLVED[:6]].itertuples(index=False, name=None)}
         exits: dict[int, tuple] = {}
 
-        def start(i: int) -> str:
-            found = known.get((x.tree[i], x.id[i]))
-            exits[i] = found or (x.parent[i], int(x.w[i]), x.seg[i] + sep, False)
-            return exits[i][2] or ""
+        def start(i: int) -> str | None:
+            found = known.get((tree[i], x.id[i]))
+            own_prefix = x.seg[i] + fold.sep if fold.kind == "path" else x.seg[i]
+            exits[i] = found or (x.parent[i], int(x.w[i]), own_prefix, False)
+            return ("" if exits[i][2] is None else exits[i][2]) if fold.kind == "path" else exits[i][2]
 
-        for i, top, w, text, _ in x.walk(start):
+        for i, top, w, stack, _ in x.walk(start):
             root, depth, _, cyclic = exits[top]
             if cyclic:
-                yield int(x.tree[i]), x.id[i], root, -1, None, True
+                yield tree[i], x.id[i], root, -1, None, True, tag[i]
             else:
-                yield int(x.tree[i]), x.id[i], root, depth + w, text if isinstance(text, str) else "".join(text), False
+                yield tree[i], x.id[i], root, int(depth) + w, fold.held(stack), False, tag[i]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in _groups(batches, "part"):
@@ -166,23 +211,25 @@ def _solve_group(sep: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Dat
     return run
 
 
-def _contract_group(sep: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _contract_group(fold: Fold) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Exits of each range, and for the records asked for from elsewhere the way to their exit."""
 
     def rows(g: pd.DataFrame) -> Iterator[tuple]:
-        own = g[g["kind"] == 0]
-        asked = set(g.loc[g["kind"] == 1, ["tree_no", "id"]].itertuples(index=False, name=None))
-        x = _Local(own, sep)
-        wanted = {x.at[k] for k in asked if k in x.at}
+        x = _Local(g[g["kind"] == 0], fold)
+        wanted = set(x.find(g[g["kind"] == 1]).tolist())
+        part, tree = int(g["part"].iloc[0]), x.tree.tolist()
         for i in wanted:
             if not x.free[i]:
-                yield True, int(x.tree[i]), x.id[i], None, 0, None, None, None, x.cycle[i]
-        for i, top, w, text, lows in x.walk(lambda _: ""):
+                yield True, tree[i], x.id[i], None, 0, None, None, None, x.cycle[i], part
+        for i, top, w, stack, lows in x.walk(lambda _: "" if fold.kind == "path" else None):
             if i == top:
-                yield False, int(x.tree[i]), x.id[i], None, int(x.w[i]), x.seg[i], x.low[i], x.parent[i], None
+                yield False, tree[i], x.id[i], None, int(x.w[i]), x.seg[i], x.low[i], x.parent[i], None, part
             if i in wanted:
-                way, low = (None, None) if i == top else ("".join(text)[: -len(sep)], min(lows[1:], key=str.encode))
-                yield True, int(x.tree[i]), x.id[i], x.id[top], w, way, low, None, None
+                way, low = None, None
+                if i != top:
+                    way, low = fold.held(stack), min(lows[1:], key=str.encode)
+                    way = way[: -len(fold.sep)] if fold.kind == "path" else way
+                yield True, tree[i], x.id[i], x.id[top], w, way, low, None, None, part
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in _groups(batches, "part"):
@@ -191,44 +238,22 @@ def _contract_group(sep: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.
     return run
 
 
-def _place(tree: Column, key: Column) -> Column:
-    return F.concat_ws("/", F.lpad(tree.cast("string"), 20, "0"), key)
-
+def _laid_out(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.repartition(parts, "part").sortWithinPartitions("part", "kind")
 
-def _ranges(records: DataFrame, n: int) -> Callable[[Column, Column], Column]:
-    """Range of a (tree, key); bounds from a bounded sample of the records' keys."""
-    parts = math.ceil(n / (RECORDS_PER_TASK * 0.7))
-    share = min(1.0, SAMPLE / n)
-    keys = sorted(r[0] for r in records.select(_place(F.col("tree_no"), F.col("id"))).sample(share, seed=7).limit(2 * SAMPLE).collect())
-    bounds = sorted({keys[i * len(keys) // parts] for i in range(1, parts)}) if len(keys) > parts else []
 
-    @F.pandas_udf("int")
-    def of(place: pd.Series) -> pd.Series:
-        return place.map(lambda p: -1 if p is None else bisect.bisect_right(bounds, p)).astype("int32")
-
-    return lambda tree, key: of(_place(tree, key))
-
-
-def _laid_out(rows: DataFrame, n: int) -> DataFrame:
-    return rows.repartition(max(1, math.ceil(n / RECORDS_PER_TASK) * 2), "part").sortWithinPartitions("part", "kind")
-
-
-def _lower(a: Column, b: Column) -> Column:
-    return F.least(a, b)
-
-
-def _by_ranges(records: DataFrame, n: int, sep: str) -> DataFrame:
-    of = _ranges(records, n)
-    placed = durable(records.withColumns({"part": of(F.col("tree_no"), F.col("id")), "to": of(F.col("tree_no"), F.col("parent"))}))
-    own = placed.withColumn("kind", F.lit(0))
-    asked = (
-        placed.where("part <> to").select("tree_no", F.col("parent").alias("id"), F.col("to").alias("part")).distinct()
-        .join(records.select("tree_no", "id"), ["tree_no", "id"], "left_semi").withColumn("kind", F.lit(1))
-    )
+def _by_ranges(records: DataFrame, n: int, fold: Fold) -> DataFrame:
+    """Records are laid out in ranges of their keys, contracted there, and extended again."""
+    width = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(n, width), math.ceil(n / RECORDS_PER_TASK))
+    placed = durable(records.repartitionByRange(parts, "tree_no", "id").withColumn("part", F.spark_partition_id()))
+    target = placed.select("tree_no", F.col("id").alias("parent"), F.col("part").alias("to"))
+    own = durable(placed.join(target, ["tree_no", "parent"], "left").withColumn("kind", F.lit(0)))
+    asked = own.where("part <> to").select("tree_no", F.col("parent").alias("id"), F.col("to").alias("part")).distinct().withColumn("kind", F.lit(1))
     work = own.drop("to").unionByName(asked, allowMissingColumns=True)
-    split = durable(_laid_out(work, n).mapInPandas(_contract_group(sep), _CONTRACTED))
+    split = durable(_laid_out(work, parts).mapInPandas(_contract_group(fold), _CONTRACTED))
     answers = split.where("answer").select("tree_no", F.col("id").alias("parent"), "top", F.col("w").alias("aw"), F.col("seg").alias("aseg"), F.col("low").alias("alow"), "cycle", "answer")
-    exits = split.where("not answer").select("tree_no", "id", "parent", "w", "seg", "low").join(answers, ["tree_no", "parent"], "left")
+    exits = split.where("not answer").select("tree_no", "id", "parent", "w", "seg", "low", "part").join(answers, ["tree_no", "parent"], "left")
     exits = durable(exits)
     further = exits.where("answer and cycle is null")
     tops = further.select("tree_no", F.col("top").alias("id")).distinct().withColumn("needed", F.lit(True))
@@ -237,28 +262,32 @@ def _by_ranges(records: DataFrame, n: int, sep: str) -> DataFrame:
         "tree_no", "id",
         F.coalesce("cycle", "parent").alias("root"),
         F.when(F.col("cycle").isNull(), F.col("w")).otherwise(-1).alias("depth"),
-        F.when(F.col("cycle").isNull(), F.concat("seg", F.lit(sep))).alias("prefix"),
-        F.col("cycle").isNotNull().alias("cyclic"),
+        F.when(F.col("cycle").isNull(), fold.prefix(F.col("seg"))).alias("prefix"),
+        F.col("cycle").isNotNull().alias("cyclic"), F.col("part").alias("tag"),
     )
     # An ended exit on which others hang stays a record; one that runs into a cycle becomes a cycle of its own.
     rest = further.select(
         "tree_no", "id", F.col("top").alias("parent"), (F.col("w") + F.col("aw")).alias("w"),
-        F.concat_ws(sep, "aseg", "seg").alias("seg"), _lower(F.col("low"), F.col("alow")).alias("low"),
+        fold.joined(F.col("aseg"), F.col("seg")).alias("seg"), _lower(F.col("low"), F.col("alow")).alias("low"), F.col("part").alias("tag"),
     ).unionByName(
         ended.where("needed").select(
             "tree_no", "id", F.when(F.col("cycle").isNull(), F.col("parent")).otherwise(F.col("id")).alias("parent"), "w", "seg",
-            F.coalesce("cycle", "low").alias("low"),
+            F.coalesce("cycle", "low").alias("low"), F.col("part").alias("tag"),
         )
     )
     rest = durable(rest)
     left = rest.count()
-    below = solve(rest, sep, coin=left > POOR * n)
-    known = solved.unionByName(below).withColumns({"part": of(F.col("tree_no"), F.col("id")), "kind": F.lit(2)})
+    below = solve(rest, fold, left, coin=left > POOR * n, level=1)
+    known = solved.unionByName(below).withColumnRenamed("tag", "part").withColumn("kind", F.lit(2))
     both = own.drop("to").unionByName(known, allowMissingColumns=True)
-    return _laid_out(both, n).mapInPandas(_solve_group(sep), SOLUTION)
+    return _laid_out(both, parts).mapInPandas(_solve_group(fold), SOLUTION)
+
+
+def _lower(a: Column, b: Column) -> Column:
+    return F.least(a, b)
 
 
-def _by_coin(records: DataFrame, level: int, sep: str) -> DataFrame:
+def _by_coin(records: DataFrame, n: int, level: int, fold: Fold) -> DataFrame:
     """One level of coin contraction: bypassed records hang on a kept parent, their children are moved up to it."""
     coin = lambda key: F.pmod(F.xxhash64(F.lit(level), "tree_no", key), F.lit(2))
     # A record is bypassed only if its parent has a record too or is a root: either way the parent stays.
@@ -267,28 +296,52 @@ def _by_coin(records: DataFrame, level: int, sep: str) -> DataFrame:
     via = out.select("tree_no", F.col("id").alias("parent"), F.col("parent").alias("vparent"), F.col("w").alias("vw"), F.col("seg").alias("vseg"), F.col("low").alias("vlow"))
     kept = marked.where("not out").drop("out").join(via, ["tree_no", "parent"], "left").select(
         "tree_no", "id", F.coalesce("vparent", "parent").alias("parent"), (F.col("w") + F.coalesce("vw", F.lit(0))).alias("w"),
-        F.concat_ws(sep, "vseg", "seg").alias("seg"), F.coalesce(_lower(F.col("low"), F.col("vlow")), F.col("low")).alias("low"),
+        fold.joined(F.col("vseg"), F.col("seg")).alias("seg"), F.coalesce(_lower(F.col("low"), F.col("vlow")), F.col("low")).alias("low"), "tag",
     )
-    done = durable(solve(durable(kept), sep, level=level + 1))
+    kept = durable(kept)
+    left = kept.count()
+    done = durable(solve(kept, fold, left, level=level + 1))
     over = done.select("tree_no", F.col("id").alias("parent"), F.col("root").alias("proot"), F.col("depth").alias("pdepth"), F.col("prefix").alias("pprefix"), "cyclic")
+    acyclic = ~F.coalesce(F.col("cyclic"), F.lit(False))
+    prefix = F.concat(F.coalesce("pprefix", F.lit("")), fold.prefix(F.col("seg"))) if fold.kind == "path" else fold.joined(F.col("pprefix"), F.col("seg"))
     back = out.join(over, ["tree_no", "parent"], "left").select(
         "tree_no", "id", F.coalesce("proot", "parent").alias("root"),
-        F.when(F.col("cyclic"), -1).otherwise(F.coalesce("pdepth", F.lit(0)) + F.col("w")).alias("depth"),
-        F.when(~F.coalesce("cyclic", F.lit(False)), F.concat(F.coalesce("pprefix", F.lit("")), "seg", F.lit(sep))).alias("prefix"),
-        F.coalesce("cyclic", F.lit(False)).alias("cyclic"),
+        F.when(acyclic, F.coalesce("pdepth", F.lit(0)) + F.col("w")).otherwise(-1).alias("depth"),
+        F.when(acyclic, prefix).alias("prefix"), F.coalesce("cyclic", F.lit(False)).alias("cyclic"), "tag",
     )
     return done.unionByName(back)
 
 
-def solve(records: DataFrame, sep: str, *, coin: bool = False, level: int = 0) -> DataFrame:
-    """Solution of every record: root (or the cycle's smallest key), depth, path before the node."""
-    n = records.count()
-    if n <= RECORDS_PER_TASK:
-        one = records.withColumns({"part": F.lit(0), "kind": F.lit(0)})
+def solve(records: DataFrame, fold: Fold, n: int, *, coin: bool = False, level: int = 0) -> DataFrame:
+    """Solution of every record: root (or the cycle's smallest key), depth, what the path before the node folds to."""
+    if level and n <= RECORDS_PER_TASK:
         known = F.lit(None)
-        one = one.withColumns({"root": known.cast("string"), "depth": known.cast("long"), "prefix": known.cast("string"), "cyclic": known.cast("boolean")})
-        return one.coalesce(1).mapInPandas(_solve_group(sep), SOLUTION)
-    return _by_coin(records, level, sep) if coin else _by_ranges(records, n, sep)
+        one = records.withColumns({
+            "part": F.lit(0), "kind": F.lit(0), "root": known.cast("string"), "depth": known.cast("long"), "prefix": known.cast("string"), "cyclic": known.cast("boolean"),
+        })
+        return one.coalesce(1).mapInPandas(_solve_group(fold), SOLUTION)
+    return _by_coin(records, n, level, fold) if coin else _by_ranges(records, n, fold)
+
+
+def linked_nodes(nodes: DataFrame) -> DataFrame:
+    """(tree_no, node_key, parent, has) of :func:`hierarchy`'s input: the row of each node that holds; ``has`` where the parent is a node."""
+    trimmed = F.regexp_replace("parent_key", r"(?U)^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    last = nodes.where("node_key is not null").groupBy("tree_no", "node_key").agg(
+        F.max(F.struct(F.col("at"), trimmed.alias("parent"))).alias("r")
+    )
+    known = durable(
+        last.select("tree_no", "node_key", F.when(~F.col("r.parent").isin("", "__undefined"), F.col("r.parent")).alias("parent"))
+    )
+    keys = known.select("tree_no", F.col("node_key").alias("parent"), F.lit(True).alias("has"))
+    return durable(known.join(keys, ["tree_no", "parent"], "left"))
+
+
+def solved_nodes(linked: DataFrame, fold: Fold, seg: Column) -> DataFrame:
+    """Solutions of the nodes of ``linked`` that have a parent; ``seg`` is what a node's parent adds to the fold."""
+    records = durable(linked.where("has").select(
+        "tree_no", F.col("node_key").alias("id"), "parent", F.lit(1).cast("long").alias("w"), seg.alias("seg"), F.col("parent").alias("low"), F.lit(0).alias("tag")
+    ))
+    return solve(records, fold, records.count()).drop("tag")
 
 
 def hierarchy(nodes: DataFrame, *, sep: str = "/") -> DataFrame:
@@ -301,22 +354,11 @@ def hierarchy(nodes: DataFrame, *, sep: str = "/") -> DataFrame:
     root_key, depth, full_path. Nodes on a cycle, or whose ancestors run into one,
     have depth -1, an empty path, and the smallest key of the cycle as root.
     """
-    trimmed = F.regexp_replace("parent_key", r"(?U)^[\s\p{Z}]+|[\s\p{Z}]+$", "")
-    last = nodes.where("node_key is not null").groupBy("tree_no", "node_key").agg(
-        F.max(F.struct(F.col("at"), trimmed.alias("parent"))).alias("r")
-    )
-    known = durable(
-        last.select("tree_no", "node_key", F.when(~F.col("r.parent").isin("", "__undefined"), F.col("r.parent")).alias("parent"))
-    )
-    keys = known.select("tree_no", F.col("node_key").alias("parent"), F.lit(True).alias("has"))
-    linked = durable(known.join(keys, ["tree_no", "parent"], "left"))
-    records = linked.where("has").select(
-        "tree_no", F.col("node_key").alias("id"), "parent", F.lit(1).cast("long").alias("w"), F.col("parent").alias("seg"), F.col("parent").alias("low")
-    )
+    linked = linked_nodes(nodes)
     roots = linked.where("has is null").select(
         "tree_no", "node_key", F.col("node_key").alias("root_key"), F.lit(0).cast("long").alias("depth"), F.col("node_key").alias("full_path")
     )
-    solved = solve(records, sep)
+    solved = solved_nodes(linked, Fold("path", sep), F.col("parent"))
     inner = solved.select(
         "tree_no", F.col("id").alias("node_key"), F.col("root").alias("root_key"), "depth",
         F.when(F.col("cyclic"), "").otherwise(F.concat("prefix", "id")).alias("full_path"),
@@ -324,6 +366,22 @@ def hierarchy(nodes: DataFrame, *, sep: str = "/") -> DataFrame:
     return roots.unionByName(inner)
 
 
+def taken_down(linked: DataFrame, values: DataFrame, kind: str) -> DataFrame:
+    """What each node gets from its ancestors: (tree_no, node_key, depth, cyclic, above).
+
+    ``values`` are (tree_no, node_key, value as text), each node at most once. ``above`` is that of the
+    nearest ancestor that has one (``kind`` nearest) or the least of all ancestors' (least), null if none
+    has any. Nodes on a cycle or below one, and roots, have none. One value goes down each path, so
+    the work does not grow with the number of ancestor-descendant pairs.
+    """
+    of_parent = values.select("tree_no", F.col("node_key").alias("parent"), "value")
+    with_value = durable(linked.join(of_parent, ["tree_no", "parent"], "left"))
+    solved = solved_nodes(with_value, Fold(kind), F.col("value"))
+    none = F.lit(None).cast("string")
+    roots = linked.where("has is null").select("tree_no", "node_key", F.lit(0).cast("long").alias("depth"), F.lit(False).alias("cyclic"), none.alias("above"))
+    return roots.unionByName(solved.select("tree_no", F.col("id").alias("node_key"), "depth", "cyclic", F.when(~F.col("cyclic"), F.col("prefix")).alias("above")))
+
+
 #: Separator that joins keys where a path is taken apart again; no key may contain it.
 UNSEEN = "\u0000"
 
