@@ -115,3 +115,12 @@ def jaro(a: str, b: str) -> float:
 @F.pandas_udf(T.DoubleType())
 def jaro_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else jaro(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
+#: A number as text: an optional sign, digits with an optional point, an optional exponent; spaces around it aside.
+NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def as_number(column: Column) -> Column:
+    """The text's number; null for all other texts, also for those that a cast alone would take (``1.0d``, ``NaN``, ``0x1p3``)."""
+    return F.when(column.rlike(NUMBER_TEXT), F.trim(column).try_cast("double"))

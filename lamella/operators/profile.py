@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,53 +106,40 @@ def share_shifts(
 def column_profile(rows: DataFrame, rules: Mapping[str, Column], *, load: Sequence[str]) -> DataFrame:
     """Per load and column: rows, nulls, distinct values, least and greatest value (as text), violations.
 
-    Distinct counts are exact: values are grouped with their load and column
-    first (combined before the shuffle), then counted, so no task holds a load's
-    set of values. Least and greatest are in the order of the column's type for
-    numbers, times and booleans, in byte order of the text for all others. The
-    load's own columns are not profiled.
+    Counts and ranges merge, so they come from one pass that combines before it
+    moves: a load of any size is a row for each task. Only distinct counts need the
+    values; of each value a 64-bit hash moves, with one of its load and column, once
+    for each task that has it (two of a load's values are taken for one with a chance of
+    about n**2 / 2**65). Least and greatest are in the order of the column's type for
+    numbers, times and booleans, in byte order for texts, and null for maps, lists and
+    structs. The load's own columns are not profiled.
     """
     kinds = {f.name: f.dataType for f in rows.schema.fields if f.name not in load}
-    fixed = [c for c, k in kinds.items() if isinstance(k, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType, T.BooleanType))]
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                value_text(c, k).alias("value"),
-                F.when(F.col(c).isNotNull() & rules[c], 1).otherwise(0).alias("bad") if c in rules else F.lit(0).alias("bad"),
-            )
-            for c, k in kinds.items()
-        ]
-    )
-    grouped = (
-        rows.select(*load, F.explode(cells).alias("s"))
-        .groupBy(*load, "s.column_name", "s.value")
-        .agg(F.count("*").alias("n"), F.sum("s.bad").alias("bad"))
-    )
-    texts = grouped.groupBy(*load, "column_name").agg(
-        F.sum("n").alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
-        F.count("value").alias("n_distinct"),
-        F.min("value").alias("__lo"),
-        F.max("value").alias("__hi"),
-        F.sum("bad").alias("n_violations"),
-    )
-    if not fixed:
-        return texts.withColumnsRenamed({"__lo": "least", "__hi": "greatest"})
-    spans = rows.groupBy(*load).agg(*[f(c).alias(f"__{f.__name__}{i}") for i, c in enumerate(fixed) for f in (F.min, F.max)])
-    long = spans.select(
-        *[F.col(c).alias(f"__l{i}") for i, c in enumerate(load)],
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__min{i}").cast("string").alias("a"), F.col(f"__max{i}").cast("string").alias("z")) for i, c in enumerate(fixed)])
-        ).alias("s"),
-    )
-    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__l{i}")) for i, c in enumerate(load)]) & (F.col("column_name") == F.col("s.column"))
-    is_fixed = F.col("column_name").isin(*fixed)
-    return texts.join(long, on, "left").select(
-        *load, "column_name", "n_rows", "n_null", "n_distinct",
-        F.when(is_fixed, F.col("s.a")).otherwise(F.col("__lo")).alias("least"),
-        F.when(is_fixed, F.col("s.z")).otherwise(F.col("__hi")).alias("greatest"),
-        "n_violations",
+    names = list(kinds)
+    nested = (T.MapType, T.ArrayType, T.StructType, T.VariantType)
+    group = lambda i: F.xxhash64(F.lit(names[i]), *load)
+
+    measures = [F.count("*").alias("__n")]
+    for i, (c, k) in enumerate(kinds.items()):
+        measures.append(F.count(c).alias(f"__k{i}"))
+        measures.append(F.count(F.when(F.col(c).isNotNull() & rules[c], 1)).alias(f"__b{i}") if c in rules else F.lit(0).cast("long").alias(f"__b{i}"))
+        if not isinstance(k, nested):
+            measures += [F.min(c).alias(f"__lo{i}"), F.max(c).alias(f"__hi{i}")]
+    wide = rows.groupBy(*load).agg(*measures)
+    text = lambda p, i, k: F.lit(None).cast("string") if isinstance(k, nested) else F.col(f"__{p}{i}").cast("string")
+    long = wide.select(*load, F.explode(F.array(*[
+        F.struct(
+            F.lit(c).alias("column_name"), F.col("__n").alias("n_rows"), (F.col("__n") - F.col(f"__k{i}")).alias("n_null"),
+            text("lo", i, k).alias("least"), text("hi", i, k).alias("greatest"), F.col(f"__b{i}").alias("n_violations"), group(i).alias("__g"),
+        )
+        for i, (c, k) in enumerate(kinds.items())
+    ])).alias("s")).select(*load, "s.*")
+
+    hashes = F.array(*[F.when(F.col(c).isNotNull(), F.struct(group(i).alias("__g"), F.xxhash64(value_text(c, k)).alias("h"))) for i, (c, k) in enumerate(kinds.items())])
+    values = rows.select(F.explode(hashes).alias("v")).where("v is not null").select("v.*").distinct()
+    counts = values.groupBy("__g").agg(F.count("*").alias("n_distinct"))
+    return long.join(counts, "__g", "left").select(
+        *load, "column_name", "n_rows", "n_null", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), "least", "greatest", "n_violations"
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamella.functions.strings import as_number
 from lamella.plans.runtime import broadcast_if_small, durable
 
 
@@ -54,8 +55,8 @@ def canonical_number_map(column: Column) -> Column:
     """
     entry = lambda e: F.struct(
         e["key"].alias("k"),
-        e["value"].try_cast("double").alias("n"),
-        F.when(e["value"].try_cast("double").isNull(), e["value"]).alias("t"),
+        as_number(e["value"]).alias("n"),
+        F.when(as_number(e["value"]).isNull(), e["value"]).alias("t"),
     )
     kept = F.filter(F.map_entries(column), lambda e: e["value"].isNotNull())
     return F.array_sort(F.transform(kept, entry))

@@ -41,12 +41,13 @@ loads AS (
   WHERE status = 'succeeded'
   WINDOW w AS (PARTITION BY exchange ORDER BY released_at, ccxt_version))"""
 
-HELD_SQL = LOADS_SQL + """,
+NUMBER_SQL = r"""CASE WHEN regexp_full_match({0}, '\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*') THEN TRY_CAST(trim({0}) AS DOUBLE) END"""
+HELD_SQL = LOADS_SQL + f""",
 held AS (
   SELECT m.exchange, trim(symbol, ' ') AS symbol, seq, m.ccxt_version, next_version,
          arg_max(struct_pack(a := id, b := base, c := quote, d := settle, e := market_type, f := active,
            g := CASE WHEN precisions IS NOT NULL THEN list_sort([
-             struct_pack(k := e.key, n := TRY_CAST(e.value AS DOUBLE), t := CASE WHEN TRY_CAST(e.value AS DOUBLE) IS NULL THEN e.value END)
+             struct_pack(k := e.key, n := {NUMBER_SQL.format('e.value')}, t := CASE WHEN {NUMBER_SQL.format('e.value')} IS NULL THEN e.value END)
              FOR e IN map_entries(precisions) IF e.value IS NOT NULL])::VARCHAR END,
            h := list_sort(map_entries(limits))::VARCHAR)::VARCHAR, (loaded_at, row_no)) AS content
   FROM load_markets m JOIN loads l ON m.exchange = l.exchange AND m.ccxt_version = l.ccxt_version

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamella.functions.strings import as_number
 from lamella.operators import profile as P
 from lamella.operators import snapshots as S
-from lamella.plans.change_queries import LOADS_SQL
+from lamella.plans.change_queries import LOADS_SQL, NUMBER_SQL
 from lamella.plans.runtime import read_table
 
 LOAD = ("exchange", "ccxt_version")
@@ -45,13 +46,25 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_profile(spark: SparkSession, d: str) -> DataFrame:
-    return P.column_profile(read_table(spark, d, "load_markets"), market_rules(), load=LOAD)
+    """A row per load and column, and one per load and key of the map columns with the range of its numbers.
+
+    Of a key (``precisions.<key>``, ``limits.<key>.min``, ``.max``) ``n_rows`` counts entries and
+    ``n_null`` those that hold no finite number; it has no distinct count and no violations of its own.
+    """
+    whole = P.column_profile(read_table(spark, d, "load_markets"), market_rules(), load=LOAD)
+    none = lambda kind: F.lit(None).cast(kind)
+    keys = p3_ranges(spark, d).select(
+        *LOAD, F.col("feature").alias("column_name"), (F.col("n") + F.col("n_other")).alias("n_rows"), F.col("n_other").alias("n_null"),
+        none("long").alias("n_distinct"), none("string").alias("least"), none("string").alias("greatest"), none("long").alias("n_violations"),
+        F.col("least").alias("least_number"), F.col("greatest").alias("greatest_number"),
+    )
+    return whole.withColumns({"least_number": none("double"), "greatest_number": none("double")}).unionByName(keys)
 
 
 def market_numbers(spark: SparkSession, d: str) -> DataFrame:
     """Numbers of the map columns, one row each: (exchange, ccxt_version, feature, x)."""
     pair = lambda f, x: F.struct(f.alias("feature"), x.alias("x"))
-    steps = F.transform(F.map_entries("precisions"), lambda e: pair(F.concat(F.lit("precisions."), e["key"]), e["value"].try_cast("double")))
+    steps = F.transform(F.map_entries("precisions"), lambda e: pair(F.concat(F.lit("precisions."), e["key"]), as_number(e["value"])))
     lows = F.transform(F.map_entries("limits"), lambda e: pair(F.concat(F.lit("limits."), e["key"], F.lit(".min")), e["value"]["min"]))
     highs = F.transform(F.map_entries("limits"), lambda e: pair(F.concat(F.lit("limits."), e["key"], F.lit(".max")), e["value"]["max"]))
     none = F.array().cast("array<struct<feature:string,x:double>>")
@@ -101,29 +114,11 @@ moved AS (
 SELECT * FROM cells UNION ALL
 SELECT m.column_name, l.ccxt_version, m.exchange, 0::BIGINT FROM moved m JOIN loads l USING (exchange, seq)"""
 
-_FIXED = ("row_no", "active", "contract", "loaded_at")
-PROFILE_SQL = f"""
-WITH marked AS (SELECT *, {BAD_SQL} FROM load_markets)
-{" UNION ALL ".join(
-    f"SELECT exchange, ccxt_version, '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS n_null, "
-    f"count(DISTINCT {VALUES[c]}) AS n_distinct, {'NULL' if c in ('precisions', 'limits') else f'min({c})::VARCHAR'} AS least, "
-    f"{'NULL' if c in ('precisions', 'limits') else f'max({c})::VARCHAR'} AS greatest, "
-    f"{f'count(*) FILTER ({BAD_OF[c]})' if c in BAD_OF else '0'} AS n_violations FROM marked GROUP BY exchange, ccxt_version"
-    for c in COLUMNS if c not in LOAD)}"""
-
-
-def p3_profile_plain(spark: SparkSession, d: str) -> DataFrame:
-    """The profile with the range of the map columns left out, whose text form differs between engines."""
-    no_text = F.col("column_name").isin("precisions", "limits")
-    full = p3_profile(spark, d)
-    return full.withColumns({c: F.when(~no_text, F.col(c)) for c in ("least", "greatest")})
-
-
 SHIFTS_SQL = f"""
 WITH {LOADS_SQL},
 numbers AS (
   SELECT exchange, ccxt_version, unnest(list_concat(list_concat(
-    [struct_pack(f := 'precisions.' || e.key, x := TRY_CAST(e.value AS DOUBLE)) FOR e IN coalesce(map_entries(precisions), []) IF e.value IS NULL OR e.value <> '1_000'],
+    [struct_pack(f := 'precisions.' || e.key, x := {NUMBER_SQL.format('e.value')}) FOR e IN coalesce(map_entries(precisions), [])],
     [struct_pack(f := 'limits.' || e.key || '.min', x := e.value.min) FOR e IN coalesce(map_entries(limits), [])]),
     [struct_pack(f := 'limits.' || e.key || '.max', x := e.value.max) FOR e IN coalesce(map_entries(limits), [])])) AS s
   FROM load_markets),
@@ -149,10 +144,10 @@ def p3_ranges(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-RANGES_SQL = """
+RANGES_SQL = f"""
 WITH numbers AS (
   SELECT exchange, ccxt_version, unnest(list_concat(list_concat(
-    [struct_pack(f := 'precisions.' || e.key, x := CASE WHEN NOT contains(e.value, '_') THEN TRY_CAST(e.value AS DOUBLE) END) FOR e IN coalesce(map_entries(precisions), [])],
+    [struct_pack(f := 'precisions.' || e.key, x := {NUMBER_SQL.format('e.value')}) FOR e IN coalesce(map_entries(precisions), [])],
     [struct_pack(f := 'limits.' || e.key || '.min', x := e.value.min) FOR e IN coalesce(map_entries(limits), [])]),
     [struct_pack(f := 'limits.' || e.key || '.max', x := e.value.max) FOR e IN coalesce(map_entries(limits), [])])) AS s
   FROM load_markets)
@@ -160,6 +155,16 @@ SELECT exchange, ccxt_version, s.f AS feature, count(*) FILTER (isfinite(s.x)) A
        min(s.x) FILTER (isfinite(s.x)) AS least, max(s.x) FILTER (isfinite(s.x)) AS greatest
 FROM numbers GROUP BY ALL"""
 
-# p3_profile is what PROFILE_SQL can be compared with; p3_profile_full keeps the ranges of the map columns.
-QUERIES = {"p3_found": p3_found, "p3_profile": p3_profile_plain, "p3_shifts": p3_shifts, "p3_profile_full": p3_profile, "p3_ranges": p3_ranges}
+_TEXT = [c for c in COLUMNS if c not in ("precisions", "limits")]
+PROFILE_SQL = f"""
+WITH marked AS (SELECT *, {BAD_SQL} FROM load_markets)
+{" UNION ALL ".join(
+    f"SELECT exchange, ccxt_version, '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS n_null, "
+    f"count(DISTINCT {VALUES[c]}) AS n_distinct, {f'min({c})::VARCHAR' if c in _TEXT else 'NULL'} AS least, "
+    f"{f'max({c})::VARCHAR' if c in _TEXT else 'NULL'} AS greatest, "
+    f"{f'count(*) FILTER ({BAD_OF[c]})' if c in BAD_OF else '0'} AS n_violations, NULL::DOUBLE AS least_number, NULL::DOUBLE AS greatest_number FROM marked GROUP BY exchange, ccxt_version"
+    for c in COLUMNS if c not in LOAD)}
+UNION ALL SELECT exchange, ccxt_version, feature, n + n_other, n_other, NULL, NULL, NULL, NULL, least, greatest FROM ({RANGES_SQL})"""
+
+QUERIES = {"p3_found": p3_found, "p3_profile": p3_profile, "p3_shifts": p3_shifts, "p3_ranges": p3_ranges}
 SQL = {"p3_found": FOUND_SQL, "p3_profile": PROFILE_SQL, "p3_shifts": SHIFTS_SQL, "p3_ranges": RANGES_SQL}
