@@ -44,20 +44,20 @@ def family_rollup(rooted: DataFrame, members: DataFrame) -> DataFrame:
     return rooted.where("node <> root").join(members.select("node", "name").distinct(), "node").groupBy("name").agg(F.count("*").alias("members"))
 
 
-def type_inventory(documents: DataFrame, *, text: str) -> DataFrame:
-    """Top-level keys of JSON objects with the types of their values: (key, type, n).
+def type_inventory(documents: DataFrame, *, text: str, by: Sequence[str] = ()) -> DataFrame:
+    """Top-level keys of JSON objects with the types of their values: (*by, key, type, n).
 
     Types are object, array, string, number, boolean, null, undefined (the
     sentinel). Unreadable texts and other values have no keys.
     """
-    v = documents.select(F.try_parse_json(text).alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
-    rows = v.lateralJoin(v.sparkSession.tvf.variant_explode(F.col("v").outer())).select("key", "value")
+    v = documents.select(*by, F.try_parse_json(text).alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    rows = v.lateralJoin(v.sparkSession.tvf.variant_explode(F.col("v").outer())).select(*by, "key", "value")
     kind = F.schema_of_variant("value")
     name = (
         F.when(kind == "VOID", "null").when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array")
         .when(F.try_variant_get("value", "$", "string") == "__undefined", "undefined").when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").otherwise("number")
     )
-    return rows.groupBy("key", name.alias("type")).agg(F.count("*").alias("n"))
+    return rows.groupBy(*by, "key", name.alias("type")).agg(F.count("*").alias("n"))
 
 
 def fixed_rollup(rows: DataFrame, *, bucket: str, name: str, buckets: Sequence[str]) -> DataFrame:

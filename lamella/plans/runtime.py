@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import pathlib
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,27 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once for each Spark context.
+
+    Its functions run in Python workers that import it; with ``--py-files`` or an
+    installed package this changes nothing.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_lamella_shipped", False):
+        return
+    root = pathlib.Path(__file__).resolve().parent.parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(pathlib.PurePosixPath(root.name) / f.relative_to(root).as_posix()))
+    # A driver-local file that Spark's own file server hands to every executor.
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="lamella-package-")) / "lamella_package.zip"
+    archive.write_bytes(held.getvalue())
+    sc.addPyFile(str(archive))
+    sc._lamella_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder in ``spark.checkpoint.dir``; only a local master may fall back to a temporary one."""
     sc = spark.sparkContext

@@ -119,15 +119,6 @@ def call_edges(spark, d):
 
 
 def call_reach(spark, d):
-    """What each method name leads to within 3 calls to names that sort after the caller's, as its SQL has it.
-
-    A part of the calls only: ``call_reach_depth`` and ``call_fixpoint`` follow all of them.
-    """
-    edges = durable(call_edges(spark, d).where("src < dst"))
-    return R.reachable(edges, edges.select(F.col("src").alias("id")).distinct(), depth=3)
-
-
-def call_reach_depth(spark, d):
     """What each method name leads to within 3 calls, over all calls (row 87)."""
     edges = call_edges(spark, d)
     return R.reachable(edges, edges.select(F.col("src").alias("id")).distinct(), depth=3)
@@ -157,9 +148,9 @@ def scoped_markets(spark, d):
 
 
 def missing_datasets(spark, d):
-    """Entities that are no alias without a fixture of release 4.9.0."""
+    """Entities that are no alias without a fixture of any release."""
     e = entities(spark, d)
-    files = read_table(spark, d, "signing_fixture").where("ccxt_version = '4.9.0'").select(normal_key(F.col("exchange")).alias("id"))
+    files = read_table(spark, d, "signing_fixture").select(normal_key(F.col("exchange")).alias("id"))
     return S.missing_files(e, files, e.where("alias"))
 
 
@@ -224,8 +215,8 @@ def envelope_counts(spark, d):
 
 def manifest_check(spark, d):
     """Outputs against loads: an exchange of the manifest has a file; its endpoints must be readable."""
-    files = read_table(spark, d, "exchange_output").groupBy("exchange").agg(F.max_by(F.struct("record_no", "endpoints", "ccxt_version"), "record_no").alias("r"))
-    files = files.select(F.col("exchange").alias("id"), F.when(F.col("r.record_no") % 5 == 0, F.lower("r.ccxt_version")).otherwise(F.col("exchange")).alias("body_id"), F.coalesce(F.try_parse_json("r.endpoints").isNotNull(), F.lit(False)).alias("readable"))
+    files = read_table(spark, d, "exchange_output").groupBy("exchange").agg(F.max_by(F.struct("record_no", "endpoints"), "record_no").alias("r"))
+    files = files.select(F.col("exchange").alias("id"), F.lower("exchange").alias("body_id"), F.coalesce(F.try_parse_json("r.endpoints").isNotNull(), F.lit(False)).alias("readable"))
     return U.manifest_status(read_table(spark, d, "load_manifest").select(F.col("exchange").alias("id")), files)
 
 
@@ -235,16 +226,11 @@ def first_attempts(spark, d):
 
 
 def content_hashes(spark, d):
-    return read_table(spark, d, "exchange_output").select("record_no", F.sha2("websocket", 256).alias("sha256"))
+    return read_table(spark, d, "exchange_output").select("record_no", *[F.sha2(c, 256).alias(f"{c}_sha256") for c in ("endpoints", "auth", "websocket")])
 
 
 # ---- differences -------------------------------------------------------------------------------
 
-def market_spot_check(spark, d):
-    m = read_table(spark, d, "load_markets").select("exchange", "symbol", "ccxt_version")
-    return D.spot_check(m.where("ccxt_version = '4.7.8'").drop("ccxt_version"), m.where("ccxt_version = '4.10.1'").drop("ccxt_version"), group="exchange", key="symbol")
-
-
 def consecutive_loads(spark, d):
     """(exchange, ccxt_version, prev_version) of the loads that count, in release order; the first has no earlier one."""
     loads = SN.counting_snapshots(read_table(spark, d, "load_manifest"), read_table(spark, d, "ccxt_release"))
@@ -259,7 +245,7 @@ def _both_sides(rows, loads):
     return now, then
 
 
-def market_load_changes(spark, d):
+def market_spot_check(spark, d):
     """Symbols of every counting load against the load before it of the same exchange; first loads have no row."""
     m = read_table(spark, d, "load_markets").select("exchange", "symbol", "ccxt_version").distinct()
     now, then = _both_sides(m, consecutive_loads(spark, d))
@@ -296,29 +282,6 @@ def fixture_parity(spark, d):
     )
 
 
-def _leaves(spark, d, version):
-    t = read_table(spark, d, "load_markets").where((F.col("ccxt_version") == version) & F.col("symbol").isNotNull())
-    one = t.groupBy("exchange", "symbol").agg(F.max_by(F.struct("base", "quote", "market_type"), "row_no").alias("r"))
-    cells = F.explode(F.array(*[F.struct(F.lit(f"/{c}").alias("path"), F.col(f"r.{c}").alias("value")) for c in ("base", "quote", "market_type")]))
-    return one.select(F.concat_ws("|", "exchange", "symbol").alias("id"), cells.alias("s")).select("id", "s.*")
-
-
-def drift_flipped(spark, d):
-    tags = spark.createDataFrame([("/base", "raw"), ("/quote", "derived"), ("/market_type", "derived")], "path string, tag string")
-    return D.flipped_derived(_leaves(spark, d, "4.10.1"), _leaves(spark, d, "4.7.8"), tags)
-
-
-def drift_stale(spark, d):
-    now, then = durable(_leaves(spark, d, "4.10.1")), durable(_leaves(spark, d, "4.7.8"))
-    sources = spark.createDataFrame([("/market_type", "/base")], "path string, source string")
-    return D.stale_overrides(now.where("path = '/market_type'").select("id", "path"), now, then, sources)
-
-
-def drift_new(spark, d):
-    now, then = durable(_leaves(spark, d, "4.10.1")), durable(_leaves(spark, d, "4.7.8"))
-    return D.new_paths(now.withColumn("path", F.regexp_replace("path", "^/market_type$", "/base/kind")), then)
-
-
 def _load_leaves(spark, d):
     """Leaves of the markets of each counting load but the first, and those of the load before it under the same id."""
     t = read_table(spark, d, "load_markets").where("symbol is not null")
@@ -328,33 +291,27 @@ def _load_leaves(spark, d):
     return [x.select(F.struct("exchange", "ccxt_version", "symbol").alias("id"), cells.alias("s")).select("id", "s.*") for x in sides]
 
 
-def load_drift_flipped(spark, d):
-    """``drift_flipped`` between all consecutive counting loads."""
+def drift_flipped(spark, d):
+    """Derived leaves that changed between all consecutive counting loads."""
     now, then = _load_leaves(spark, d)
     tags = spark.createDataFrame([("/base", "raw"), ("/quote", "derived"), ("/market_type", "derived")], "path string, tag string")
     return D.flipped_derived(now, then, tags).select("id.*", "path", "before", "after")
 
 
-def load_drift_stale(spark, d):
-    """``drift_stale`` between all consecutive counting loads."""
+def drift_stale(spark, d):
+    """Overridden leaves whose source changed between all consecutive counting loads."""
     now, then = _load_leaves(spark, d)
     sources = spark.createDataFrame([("/market_type", "/base")], "path string, source string")
     return D.stale_overrides(now.where("path = '/market_type'").select("id", "path"), now, then, sources).select("id.*", "path", "source")
 
 
-def load_drift_new(spark, d):
-    """``drift_new`` between all consecutive counting loads."""
+def drift_new(spark, d):
+    """Topmost leaves that the load before lacks, for all consecutive counting loads."""
     now, then = _load_leaves(spark, d)
     return D.new_paths(now.withColumn("path", F.regexp_replace("path", "^/market_type$", "/base/kind")), then).select("id.*", "path")
 
 
 def determinism(spark, d):
-    """Planted faults, as its SQL has them; ``output_determinism`` compares what was delivered."""
-    t = read_table(spark, d, "exchange_output")
-    return D.determinism(t.select("record_no", "auth"), t.where("record_no % 7 <> 3").select("record_no", F.when(F.col("record_no") % 7 == 1, F.concat("auth", F.lit(" "))).otherwise(F.col("auth")).alias("auth")), id="record_no", text="auth")
-
-
-def output_determinism(spark, d):
     """Each output against the next one of the same exchange and release, by record_no; the last has none (missing_second)."""
     t = read_table(spark, d, "exchange_output").select("record_no", "exchange", "ccxt_version", F.to_json(F.struct("endpoints", "auth", "websocket"), {"ignoreNullFields": "false"}).alias("text"))
     later = t.withColumn("before", F.lag("record_no").over(Window.partitionBy("exchange", "ccxt_version").orderBy("record_no")))
@@ -423,14 +380,6 @@ def status_classes(spark, d):
 
 
 def order_invariants(spark, d):
-    """Lines whose order is missing, and orders whose customer is, with planted gaps as its SQL has them; ``order_orphans`` has none."""
-    lines, orders, customers = (read_table(spark, d, t) for t in ("lineitem", "orders", "customer"))
-    a = V.subset_violations(lines.select(F.col("l_orderkey").alias("k")), orders.where("o_orderkey % 11 <> 0").select(F.col("o_orderkey").alias("k")), on=["k"])
-    b = V.subset_violations(orders.select(F.col("o_custkey").alias("k")), customers.where("c_custkey % 13 <> 0").select(F.col("c_custkey").alias("k")), on=["k"])
-    return a.withColumn("rule", F.lit("line_has_order")).unionByName(b.withColumn("rule", F.lit("order_has_customer"))).groupBy("rule").agg(F.count("*").alias("n"))
-
-
-def order_orphans(spark, d):
     """Lines whose order is missing, and orders whose customer is, over the whole tables; 0 where there are none."""
     lines, orders, customers = (read_table(spark, d, t) for t in ("lineitem", "orders", "customer"))
     a = V.subset_violations(lines.select(F.col("l_orderkey").alias("k")), orders.select(F.col("o_orderkey").alias("k")), on=["k"])
@@ -442,7 +391,7 @@ def entry_faults(spark, d):
     """Faults of override entries made of documents."""
     t = read_table(spark, d, "documents").select(
         F.col("source").alias("id"), F.col("ccxt_version").alias("schema_version"), F.concat(F.when(F.col("doc_id") % 3 > 0, "/").otherwise(""), F.coalesce("lang", F.lit(""))).alias("path"),
-        F.substring("text", 1, 3).alias("reason"), F.when(F.col("doc_id") % 2 == 0, F.col("exchange")).alias("verified_against"), (F.col("doc_id") % 4 == 0).alias("unverified"),
+        F.col("text").alias("reason"), F.when(F.col("doc_id") % 2 == 0, F.col("exchange")).alias("verified_against"), (F.col("doc_id") % 4 == 0).alias("unverified"),
     )
     return P.entry_errors(t, "4.9.0").groupBy("fault").agg(F.count("*").alias("n"))
 
@@ -451,16 +400,14 @@ QUERIES = {
     f.__name__: f
     for f in (
         tree_children, ancestor_closure, root_ancestor, tier_expansion, nearest_stream_method, parent_fallback, parent_map_merge, override_status, error_buckets,
-        scope_closure, call_reach, call_reach_depth, call_fixpoint, alias_exclusion, scoped_markets, missing_datasets, closest_nations, tier_lookup, scope_stamps, vocabulary, assembly, kind_pivot,
-        upsert_customers, envelope_counts, manifest_check, first_attempts, content_hashes, market_spot_check, market_load_changes, precision_key_diff, fixture_parity, drift_flipped,
-        drift_stale, drift_new, load_drift_flipped, load_drift_stale, load_drift_new, determinism, output_determinism, list_override_audit, event_json, patched_events, pointer_translation, name_forms, channel_placeholders, bucket_limits,
-        dead_paths, status_classes, order_invariants, order_orphans, entry_faults,
+        scope_closure, call_reach, call_fixpoint, alias_exclusion, scoped_markets, missing_datasets, closest_nations, tier_lookup, scope_stamps, vocabulary, assembly, kind_pivot,
+        upsert_customers, envelope_counts, manifest_check, first_attempts, content_hashes, market_spot_check, precision_key_diff, fixture_parity, drift_flipped,
+        drift_stale, drift_new, determinism, list_override_audit, event_json, patched_events, pointer_translation, name_forms, channel_placeholders, bucket_limits,
+        dead_paths, status_classes, order_invariants, entry_faults,
     )
 }
 
 _E = f"WITH {ENTITY_SQL}"
-_LEAF = lambda v: f"""(SELECT exchange || '|' || symbol AS id, unnest([struct_pack(path := '/base', value := r.base), struct_pack(path := '/quote', value := r.quote), struct_pack(path := '/market_type', value := r.market_type)], recursive := true)
-  FROM (SELECT exchange, symbol, arg_max(struct_pack(base := base, quote := quote, market_type := market_type), row_no) AS r FROM load_markets WHERE ccxt_version = '{v}' AND symbol IS NOT NULL GROUP BY ALL))"""
 _BUCKET = "CASE " + " ".join(f"WHEN anc = '{c}' THEN {i}" for i, (_, c) in enumerate(BUCKETS)) + " END"
 _CALLS = """edges AS (SELECT DISTINCT z[1] AS src, z[2] AS dst FROM (SELECT unnest(list_zip(methods[1:len(methods) - 1], methods[2:])) AS z FROM class_hierarchy WHERE len(methods) > 1) WHERE z[1] IS NOT NULL AND z[2] IS NOT NULL),
 walk AS (SELECT DISTINCT src AS start, src AS node, 0 AS hops FROM edges UNION SELECT start, dst, hops + 1 FROM walk JOIN edges ON src = node"""
@@ -492,15 +439,12 @@ lost AS (SELECT DISTINCT tree_no, c FROM up WHERE ring),
 best AS (SELECT u.tree_no, u.c, min({_BUCKET}) AS r FROM up u WHERE anc = c OR NOT EXISTS (SELECT 1 FROM lost l WHERE l.tree_no = u.tree_no AND l.c = u.c) GROUP BY ALL)
 SELECT coalesce({_NAMES}[r + 1], 'non_retryable') AS bucket, count(*) AS n FROM best GROUP BY 1""",
     "scope_closure": f"WITH RECURSIVE {CHAIN_SQL} SELECT DISTINCT ancestor AS id, NOT starts_with(ancestor, 'ws:') AS added FROM chain WHERE starts_with(node, 'ws:')",
-    "call_reach": """WITH RECURSIVE edges AS (SELECT DISTINCT s AS src, t AS dst FROM (SELECT unnest(list_zip(methods[1:len(methods) - 1], methods[2:])) AS z, z[1] AS s, z[2] AS t FROM class_hierarchy WHERE len(methods) > 1) WHERE s < t),
-walk AS (SELECT DISTINCT src AS start, src AS node, 0 AS hops FROM edges UNION SELECT start, dst, hops + 1 FROM walk JOIN edges ON src = node WHERE hops < 3)
-SELECT start, node, min(hops) AS hops FROM walk GROUP BY ALL""",
-    "call_reach_depth": f"WITH RECURSIVE {_CALLS} WHERE hops < 3) SELECT start, node, min(hops) AS hops FROM walk GROUP BY ALL",
+    "call_reach": f"WITH RECURSIVE {_CALLS} WHERE hops < 3) SELECT start, node, min(hops) AS hops FROM walk GROUP BY ALL",
     # No shortest way has more calls than there are names.
     "call_fixpoint": f"WITH RECURSIVE {_CALLS} WHERE hops < (SELECT count(DISTINCT src) FROM edges)) SELECT start, node, min(hops) AS hops FROM walk GROUP BY ALL",
     "alias_exclusion": f"{_E} SELECT id FROM entity WHERE NOT coalesce(alias, false)",
     "scoped_markets": f"{_E} SELECT exchange, count(*) AS n FROM load_markets WHERE {_key('exchange')} IN (SELECT id FROM entity WHERE pro) GROUP BY exchange",
-    "missing_datasets": f"{_E} SELECT id FROM entity WHERE NOT coalesce(alias, false) AND id NOT IN (SELECT {_key('exchange')} FROM signing_fixture WHERE ccxt_version = '4.9.0' AND {_key('exchange')} IS NOT NULL)",
+    "missing_datasets": f"{_E} SELECT id FROM entity WHERE NOT coalesce(alias, false) AND id NOT IN (SELECT {_key('exchange')} FROM signing_fixture WHERE {_key('exchange')} IS NOT NULL)",
     "closest_nations": """SELECT lower(r_name) AS asked, lower(n_name) AS id, round(jaro_similarity(lower(r_name), lower(n_name)), 6) AS score,
   CAST(row_number() OVER (PARTITION BY r_name ORDER BY jaro_similarity(lower(r_name), lower(n_name)) DESC, lower(n_name)) AS INTEGER) AS rank
 FROM region, nation WHERE jaro_similarity(lower(r_name), lower(n_name)) >= 0.4 QUALIFY rank <= 3""",
@@ -522,37 +466,28 @@ UNION ALL SELECT c_custkey, c_nationkey, round(c_acctbal * 2, 2) FROM customer W
     "envelope_counts": f"""{_E}, en AS (SELECT DISTINCT envelope_no, {_key('e.id')} AS id FROM (SELECT envelope_no, unnest(exchanges) AS e FROM exchanges)),
 k AS (SELECT envelope_no, count(*) AS new_count FROM en WHERE id IN (SELECT id FROM entity WHERE NOT coalesce(alias, false)) GROUP BY 1), o AS (SELECT envelope_no, max(entry_count)::BIGINT AS old_count FROM exchanges GROUP BY 1)
 SELECT envelope_no, old_count, coalesce(new_count, 0) AS new_count, old_count IS DISTINCT FROM coalesce(new_count, 0) AS changed FROM o LEFT JOIN k USING (envelope_no)""",
-    "manifest_check": """WITH f AS (SELECT exchange AS id, arg_max(struct_pack(n := record_no, e := endpoints, v := ccxt_version), record_no) AS r FROM exchange_output GROUP BY 1), m AS (SELECT DISTINCT exchange AS id FROM load_manifest)
+    "manifest_check": """WITH f AS (SELECT exchange AS id, arg_max(struct_pack(n := record_no, e := endpoints), record_no) AS r FROM exchange_output GROUP BY 1), m AS (SELECT DISTINCT exchange AS id FROM load_manifest)
 SELECT coalesce(m.id, f.id) AS id, CASE WHEN m.id IS NULL THEN 'orphan' WHEN f.id IS NULL THEN 'missing' WHEN r.e IS NULL OR NOT json_valid(r.e) THEN 'corrupt'
-  WHEN CASE WHEN r.n % 5 = 0 THEN lower(r.v) ELSE f.id END IS DISTINCT FROM m.id THEN 'id_mismatch' ELSE 'ok' END AS status FROM m FULL JOIN f ON f.id = m.id""",
+  WHEN lower(f.id) IS DISTINCT FROM m.id THEN 'id_mismatch' ELSE 'ok' END AS status FROM m FULL JOIN f ON f.id = m.id""",
     "first_attempts": "SELECT exchange, ccxt_version, arg_min(status, (finished_at, status)) AS status, min(finished_at) AS finished_at FROM load_manifest GROUP BY ALL",
-    "content_hashes": "SELECT record_no, sha256(websocket) AS sha256 FROM exchange_output",
-    "market_spot_check": """WITH s AS (SELECT exchange, symbol, bool_or(ccxt_version = '4.7.8') AS l, bool_or(ccxt_version = '4.10.1') AS r FROM load_markets WHERE ccxt_version IN ('4.7.8', '4.10.1') GROUP BY ALL)
-SELECT exchange, count(*) FILTER (l) AS left_n, count(*) FILTER (r) AS right_n, count(*) FILTER (NOT r) AS removed, count(*) FILTER (NOT l) AS added FROM s GROUP BY exchange""",
-    "market_load_changes": f"""WITH {LOADS_SQL}, m AS (SELECT DISTINCT exchange, ccxt_version, symbol FROM load_markets),
+    "content_hashes": "SELECT record_no, sha256(endpoints) AS endpoints_sha256, sha256(auth) AS auth_sha256, sha256(websocket) AS websocket_sha256 FROM exchange_output",
+    "market_spot_check": f"""WITH {LOADS_SQL}, m AS (SELECT DISTINCT exchange, ccxt_version, symbol FROM load_markets),
 p AS (SELECT m.exchange, m.symbol, l.seq FROM m JOIN loads l ON l.exchange = m.exchange AND l.ccxt_version = m.ccxt_version),
 s AS (SELECT exchange, symbol, seq, bool_or(o) AS l, bool_or(NOT o) AS r FROM (SELECT exchange, symbol, seq, false AS o FROM p WHERE seq > 1 UNION ALL SELECT exchange, symbol, seq + 1, true FROM p) GROUP BY ALL)
 SELECT s.exchange, l.ccxt_version, count(*) FILTER (s.l) AS left_n, count(*) FILTER (s.r) AS right_n, count(*) FILTER (NOT s.r) AS removed, count(*) FILTER (NOT s.l) AS added
 FROM s JOIN loads l ON l.exchange = s.exchange AND l.seq = s.seq GROUP BY ALL""",
     "precision_key_diff": """WITH e AS (SELECT exchange, symbol, arg_min(struct_pack(p := precisions), row_no).p AS a, arg_max(struct_pack(p := precisions), row_no).p AS b FROM load_markets WHERE symbol IS NOT NULL GROUP BY ALL)
 SELECT exchange, symbol, array_to_string(list_sort(list_filter(list_distinct(list_concat(coalesce(map_keys(a), []), coalesce(map_keys(b), []))), lambda k: a[k] IS DISTINCT FROM b[k])), ',') AS keys FROM e""",
-    "drift_flipped": f"""SELECT coalesce(a.id, b.id) AS id, coalesce(a.path, b.path) AS path, b.value AS before, a.value AS after FROM {_LEAF('4.10.1')} a FULL JOIN {_LEAF('4.7.8')} b ON a.id = b.id AND a.path = b.path
-WHERE coalesce(a.path, b.path) IN ('/quote', '/market_type') AND a.value IS DISTINCT FROM b.value""",
-    "drift_stale": f"""WITH a AS {_LEAF('4.10.1')}, b AS {_LEAF('4.7.8')}, q AS (SELECT id, path, s AS source FROM a, (VALUES ('/market_type'), ('/base')) v(s) WHERE path = '/market_type')
-SELECT q.id, q.path, q.source FROM q LEFT JOIN a x ON x.id = q.id AND x.path = q.source LEFT JOIN b y ON y.id = q.id AND y.path = q.source WHERE x.value IS DISTINCT FROM y.value""",
-    "drift_new": f"""WITH a AS (SELECT id, CASE WHEN path = '/market_type' THEN '/base/kind' ELSE path END AS path FROM {_LEAF('4.10.1')}), n AS (SELECT a.* FROM a ANTI JOIN {_LEAF('4.7.8')} b ON b.id = a.id AND b.path = a.path)
-SELECT id, path FROM n WHERE NOT EXISTS (SELECT 1 FROM n o WHERE o.id = n.id AND starts_with(n.path, o.path || '/'))""",
-    "load_drift_flipped": f"""WITH {_LOAD_LEAVES}, j AS (SELECT exchange, seq, symbol, path, b.value AS before, a.value AS after FROM a FULL JOIN b USING (exchange, seq, symbol, path))
+    "drift_flipped": f"""WITH {_LOAD_LEAVES}, j AS (SELECT exchange, seq, symbol, path, b.value AS before, a.value AS after FROM a FULL JOIN b USING (exchange, seq, symbol, path))
 SELECT j.exchange, l.ccxt_version, symbol, path, before, after FROM j JOIN loads l ON l.exchange = j.exchange AND l.seq = j.seq WHERE path IN ('/quote', '/market_type') AND before IS DISTINCT FROM after""",
-    "load_drift_stale": f"""WITH {_LOAD_LEAVES}, q AS (SELECT exchange, seq, symbol, path, s AS source FROM a, (VALUES ('/market_type'), ('/base')) v(s) WHERE path = '/market_type')
+    "drift_stale": f"""WITH {_LOAD_LEAVES}, q AS (SELECT exchange, seq, symbol, path, s AS source FROM a, (VALUES ('/market_type'), ('/base')) v(s) WHERE path = '/market_type')
 SELECT q.exchange, l.ccxt_version, q.symbol, q.path, q.source FROM q JOIN loads l ON l.exchange = q.exchange AND l.seq = q.seq
 LEFT JOIN a x ON x.exchange = q.exchange AND x.seq = q.seq AND x.symbol = q.symbol AND x.path = q.source LEFT JOIN b y ON y.exchange = q.exchange AND y.seq = q.seq AND y.symbol = q.symbol AND y.path = q.source WHERE x.value IS DISTINCT FROM y.value""",
-    "load_drift_new": f"""WITH {_LOAD_LEAVES}, k AS (SELECT exchange, seq, symbol, CASE WHEN path = '/market_type' THEN '/base/kind' ELSE path END AS path FROM a),
+    "drift_new": f"""WITH {_LOAD_LEAVES}, k AS (SELECT exchange, seq, symbol, CASE WHEN path = '/market_type' THEN '/base/kind' ELSE path END AS path FROM a),
 n AS (SELECT k.* FROM k ANTI JOIN b USING (exchange, seq, symbol, path))
 SELECT n.exchange, l.ccxt_version, symbol, path FROM n JOIN loads l ON l.exchange = n.exchange AND l.seq = n.seq
 WHERE NOT EXISTS (SELECT 1 FROM n o WHERE o.exchange = n.exchange AND o.seq = n.seq AND o.symbol = n.symbol AND starts_with(n.path, o.path || '/'))""",
-    "determinism": "SELECT record_no, CASE WHEN record_no % 7 = 3 THEN 'missing_second' WHEN record_no % 7 = 1 AND auth IS NOT NULL THEN 'diverged' ELSE 'equal' END AS status FROM exchange_output",
-    "output_determinism": """WITH t AS (SELECT record_no, {'e': endpoints, 'a': auth, 'w': websocket} AS v, row_number() OVER (PARTITION BY exchange, ccxt_version ORDER BY record_no) AS i, exchange, ccxt_version FROM exchange_output)
+    "determinism": """WITH t AS (SELECT record_no, {'e': endpoints, 'a': auth, 'w': websocket} AS v, row_number() OVER (PARTITION BY exchange, ccxt_version ORDER BY record_no) AS i, exchange, ccxt_version FROM exchange_output)
 SELECT a.record_no, CASE WHEN b.record_no IS NULL THEN 'missing_second' WHEN a.v IS NOT DISTINCT FROM b.v THEN 'equal' ELSE 'diverged' END AS status
 FROM t a LEFT JOIN t b ON b.exchange IS NOT DISTINCT FROM a.exchange AND b.ccxt_version IS NOT DISTINCT FROM a.ccxt_version AND b.i = a.i + 1""",
     "list_override_audit": """WITH b AS (SELECT node_key, arg_max(methods, (extracted_at, len(methods))) AS v, max(method_count) AS n FROM class_hierarchy WHERE methods IS NOT NULL GROUP BY 1),
@@ -573,11 +508,9 @@ SELECT p_partkey, round(CASE WHEN rate > 0 THEN 1000.0::DOUBLE / rate END, 6) AS
   CASE p_partkey % 8 WHEN 2 THEN 'DECIMAL_PLACES' WHEN 3 THEN 'SIGNIFICANT_DIGITS' WHEN 4 THEN 'TICK_SIZE' WHEN 5 THEN 'NO_PADDING' WHEN 6 THEN 'PAD_WITH_ZERO' END AS mode FROM t""",
     "dead_paths": "SELECT class_type, count(*) AS n FROM class_hierarchy WHERE NOT regexp_matches(node_key, 'V[0-9a-z]{2,}$') AND NOT starts_with(source_file, 'ws/') GROUP BY class_type",
     "status_classes": "SELECT status, string_agg(DISTINCT x, ',' ORDER BY x) AS classes FROM (SELECT o_orderkey % 7 AS status, o_orderpriority || ':' || o_orderstatus AS x FROM orders) GROUP BY status",
-    "order_invariants": """SELECT 'line_has_order' AS rule, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 11 <> 0)
-UNION ALL SELECT 'order_has_customer', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 13 <> 0)""",
-    "order_orphans": """SELECT 'line_has_order' AS rule, count(*) AS n FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
+    "order_invariants": """SELECT 'line_has_order' AS rule, count(*) AS n FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
 UNION ALL SELECT 'order_has_customer', count(*) FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)""",
-    "entry_faults": """WITH t AS (SELECT source AS id, ccxt_version AS sv, CASE WHEN doc_id % 3 > 0 THEN '/' ELSE '' END || coalesce(lang, '') AS path, substring(text, 1, 3) AS reason, CASE WHEN doc_id % 2 = 0 THEN exchange END AS va, doc_id % 4 = 0 AS unv FROM documents),
+    "entry_faults": """WITH t AS (SELECT source AS id, ccxt_version AS sv, CASE WHEN doc_id % 3 > 0 THEN '/' ELSE '' END || coalesce(lang, '') AS path, text AS reason, CASE WHEN doc_id % 2 = 0 THEN exchange END AS va, doc_id % 4 = 0 AS unv FROM documents),
 f AS (SELECT 'schema_version' AS fault FROM t WHERE sv IS DISTINCT FROM '4.9.0' UNION ALL SELECT 'path' FROM t WHERE NOT starts_with(path, '/') UNION ALL SELECT 'reason' FROM t WHERE coalesce(trim(reason, ' '), '') = ''
   UNION ALL SELECT 'exclusive' FROM t WHERE va IS NOT NULL AND coalesce(unv, false) UNION ALL SELECT 'duplicate_path' FROM (SELECT 1 FROM t GROUP BY id, path HAVING count(*) > 1))
 SELECT fault, count(*) AS n FROM f GROUP BY fault""",
