@@ -23,10 +23,17 @@ def closure(nodes: DataFrame) -> DataFrame:
     return own.unionByName(pairs)
 
 
+def _linked(nodes: DataFrame) -> DataFrame:
+    """Nodes (node, parent) with an optional ``tree_no`` as the hierarchy operators take them."""
+    tree = F.col("tree_no").cast("long") if "tree_no" in nodes.columns else F.lit(0).cast("long")
+    return H.linked_nodes(nodes.select(tree.alias("tree_no"), F.col("node").alias("node_key"), F.col("parent").alias("parent_key"), F.lit(0).alias("at")))
+
+
 def roots(nodes: DataFrame) -> DataFrame:
-    """(node, root, depth) of acyclic nodes."""
-    shaped = nodes.select(F.lit(0).cast("long").alias("tree_no"), F.col("node").alias("node_key"), F.col("parent").alias("parent_key"), F.lit(0).alias("at"))
-    return H.hierarchy(shaped).where("depth >= 0").select(F.col("node_key").alias("node"), F.col("root_key").alias("root"), "depth")
+    """(node, root, depth) of acyclic nodes. No path is written down."""
+    linked = _linked(nodes)
+    below = H.solved_nodes(linked, H.Fold("nearest"), F.lit(None).cast("string")).where("not cyclic").select(F.col("id").alias("node"), "root", "depth")
+    return linked.where("has is null").select(F.col("node_key").alias("node"), F.col("node_key").alias("root"), F.lit(0).cast("long").alias("depth")).unionByName(below)
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
@@ -40,19 +47,26 @@ def invert(adjacent: DataFrame) -> DataFrame:
     return adjacent.select("parent", F.explode("children").alias("node")).groupBy("node").agg(F.max("parent").alias("parent"))
 
 
-def nearest_value(chain: DataFrame, values: DataFrame, default: Column | None = None) -> DataFrame:
-    """First present value along each node's chain: (node, value, origin, distance).
+def nearest_value(nodes: DataFrame, values: DataFrame, default: Column | None = None) -> DataFrame:
+    """First present value along each node's chain, itself first: (node, value, origin, distance).
 
     A row in ``values`` (node, value) is presence, so a present null stops the
     search. ``origin`` is ``self``, the ancestor, or ``default`` where no node of the
-    chain has a row; then the value is ``default``.
+    chain has a row; then the value is ``default``. Nodes on a cycle or below one
+    have their own value only. The nearest holder goes down each path; ancestor-descendant
+    pairs are never made.
     """
-    own = values.select(F.col("node").alias("ancestor"), F.col("value").alias("v"))
-    found = chain.join(own, "ancestor").groupBy("node").agg(F.min(F.struct("distance", "ancestor", "v")).alias("f"))
-    every = chain.where("distance = 0").select("node").join(found, "node", "left")
-    origin = F.when(F.col("f").isNull(), "default").when(F.col("f.distance") == 0, "self").otherwise(F.col("f.ancestor"))
-    value = F.when(F.col("f").isNull(), default if default is not None else F.lit(None)).otherwise(F.col("f.v"))
-    return every.select("node", value.alias("value"), origin.alias("origin"), F.col("f.distance").alias("distance"))
+    linked = _linked(nodes)
+    held = durable(values.select("node", F.col("value").alias("v")))
+    holders = held.select(F.lit(0).cast("long").alias("tree_no"), F.col("node").alias("node_key"), F.col("node").alias("value"))
+    down = durable(H.taken_down(linked, holders, "nearest").select(F.col("node_key").alias("node"), "depth", "above"))
+    own = held.select("node", F.lit(True).alias("has"))
+    at = down.join(own, "node", "left").withColumn("holder", F.when(F.col("has"), F.col("node")).otherwise(F.col("above")))
+    depths = down.select(F.col("node").alias("holder"), F.col("depth").alias("hdepth")).join(held.withColumnRenamed("node", "holder"), "holder")
+    found = at.join(depths, "holder", "left")
+    origin = F.when(F.col("holder").isNull(), "default").when(F.col("has"), "self").otherwise(F.col("holder"))
+    value = F.when(F.col("holder").isNull(), default if default is not None else F.lit(None)).otherwise(F.col("v"))
+    return found.select("node", value.alias("value"), origin.alias("origin"), (F.col("depth") - F.col("hdepth")).alias("distance"))
 
 
 def parent_fallback(nodes: DataFrame, values: DataFrame) -> DataFrame:
@@ -84,17 +98,22 @@ def expand_tiers(rooted: DataFrame, tier_roots: DataFrame) -> DataFrame:
     return below.unionByName(tier_roots.select("tier", "id")).distinct()
 
 
-def priority_bucket(chain: DataFrame, bucket_roots: Sequence[tuple[str, str]], other: str = "non_retryable") -> DataFrame:
-    """Bucket of each node: the first in order of which an ancestor (or itself) is a root, else ``other``.
+def priority_bucket(nodes: DataFrame, bucket_roots: Sequence[tuple[str, str]], other: str = "non_retryable") -> DataFrame:
+    """Bucket of each node: the first in order of which an ancestor (or itself) is a root, else ``other``: (tree_no, node, bucket).
 
-    ``bucket_roots`` are (bucket, class) pairs in order of priority, a short fixed list.
+    ``nodes`` are (node, parent) with an optional tree_no; ``bucket_roots`` are (bucket, class) pairs in
+    order of priority, a short fixed list. The least rank goes down each path. Nodes on a
+    cycle or below one count for themselves only.
     """
-    rank = F.when(F.lit(False), F.lit(None).cast("int"))
+    linked = _linked(nodes)
+    rank = F.when(F.lit(False), F.lit(None).cast("string"))
     for i, (_, name) in enumerate(bucket_roots):
-        rank = rank.when(F.col("ancestor") == name, i)
-    best = chain.groupBy("node").agg(F.min(rank).alias("r"))
+        rank = rank.when(F.col("node_key") == name, F.lit(f"{i:04d}"))
+    ranked = linked.withColumn("value", rank)
+    down = H.taken_down(linked, ranked.where("value is not null").select("tree_no", "node_key", "value"), "least")
     names = F.array(*[F.lit(b) for b, _ in bucket_roots])
-    return best.select("node", F.coalesce(F.get(names, F.col("r")), F.lit(other)).alias("bucket"))
+    best = F.least("above", rank).cast("int")
+    return down.select("tree_no", F.col("node_key").alias("node"), F.coalesce(F.get(names, best), F.lit(other)).alias("bucket"))
 
 
 def close_scope(chain: DataFrame, scope: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def nearest_stream_method(spark, d):
     """The method count of the nearest class, itself first, that has a ``watchOrderBook``."""
     edges = durable(class_edges(spark, d))
     values = read_table(spark, d, "class_hierarchy").where("array_contains(methods, 'watchOrderBook')").groupBy(F.col("node_key").alias("node")).agg(F.max("method_count").alias("value"))
-    return R.nearest_value(R.closure(edges), values, F.lit(-1))
+    return R.nearest_value(edges, values, F.lit(-1))
 
 
 def parent_fallback(spark, d):
@@ -98,10 +98,7 @@ def error_buckets(spark, d):
     """Retry bucket of each error class of each tree, by its ancestors in the tree's first-ancestor links."""
     t = read_table(spark, d, "error_class_hierarchy").select("tree_no", F.explode("ancestors").alias("c", "chain"))
     one = t.groupBy("tree_no", "c").agg(F.min(F.get("chain", 0)).alias("p"))
-    name = lambda c: F.concat_ws("|", F.col("tree_no").cast("string"), c)
-    nodes = durable(one.select(name(F.col("c")).alias("node"), F.when(F.col("p").isNotNull(), name(F.col("p"))).alias("parent")))
-    chain = R.closure(nodes).withColumn("ancestor", F.substring_index("ancestor", "|", -1))
-    out = R.priority_bucket(chain, BUCKETS)
+    out = R.priority_bucket(durable(one.select("tree_no", F.col("c").alias("node"), F.col("p").alias("parent"))), BUCKETS)
     return out.groupBy("bucket").agg(F.count("*").alias("n"))
 
 

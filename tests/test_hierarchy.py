@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import lamella.operators.hierarchy as H
 
@@ -59,3 +60,36 @@ def test_descendants(spark):
     df = spark.createDataFrame([(0, "a", None, 1), (0, "b/x", "a", 1), (0, "c", "b/x", 1), (0, "s", "s", 1)], "tree_no long, node_key string, parent_key string, at int")
     got = sorted((r.ancestor, r.descendant, r.distance) for r in H.descendants(df).collect())
     assert got == [("a", "b/x", 1), ("a", "c", 2), ("b/x", "c", 1)]
+
+
+def test_values_taken_down_one_long_chain(spark):
+    import lamella.operators.resolve as R
+
+    n = 100_000
+    nodes = spark.range(n).select(F.format_string("k%06d", "id").alias("node"), F.when(F.col("id") > 0, F.format_string("k%06d", F.col("id") - 1)).alias("parent"))
+    values = spark.createDataFrame([("k000010", 1), ("k050000", None)], "node string, value int")
+    got = {r.origin: (r.n, r.d, r.v) for r in R.nearest_value(nodes, values, F.lit(-1)).groupBy("origin").agg(F.count("*").alias("n"), F.max("distance").alias("d"), F.max("value").alias("v")).collect()}
+    assert got == {"default": (10, None, -1), "self": (2, 0, 1), "k000010": (49_989, 49_989, 1), "k050000": (49_999, 49_999, None)}
+    assert R.roots(nodes).agg(F.max("depth"), F.countDistinct("root")).first() == (n - 1, 1)
+
+
+@pytest.mark.parametrize("size", [10_000, 30])
+def test_values_taken_down_against_brute_force(spark, monkeypatch, size):
+    import lamella.operators.resolve as R
+
+    monkeypatch.setattr(H, "RECORDS_PER_TASK", size)
+    rnd = random.Random(size)
+    parent = {f"n{i:03d}": f"n{rnd.randrange(200):03d}" if rnd.random() < 0.8 else None for i in range(200)}
+    held = {k: rnd.randrange(9) for k in sorted(parent) if rnd.random() < 0.2}
+    want = {}
+    for k in parent:
+        path, at = [], k
+        while at is not None and at not in path:
+            path.append(at)
+            at = parent[at]
+        path = path[:1] if at is not None else path
+        hit = next(((i, a) for i, a in enumerate(path) if a in held), None)
+        want[k] = (held[hit[1]], "self" if hit[0] == 0 else hit[1], hit[0]) if hit else (-1, "default", None)
+    nodes = spark.createDataFrame(sorted(parent.items()), "node string, parent string")
+    values = spark.createDataFrame(sorted(held.items()), "node string, value int")
+    assert {r.node: (r.value, r.origin, r.distance) for r in R.nearest_value(nodes, values, F.lit(-1)).collect()} == want

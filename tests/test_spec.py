@@ -54,7 +54,7 @@ def test_resolution(spark):
     chain = R.closure(nodes(spark))
     assert {(r.node, r.ancestor, r.distance) for r in chain.where("distance > 0").collect()} == {("a", "root", 1), ("b", "a", 1), ("b", "root", 2)}
     values = spark.createDataFrame([("root", "R"), ("a", None)], "node string, value string")
-    got = {r.node: (r.value, r.origin) for r in R.nearest_value(chain, values, F.lit("D")).collect()}
+    got = {r.node: (r.value, r.origin) for r in R.nearest_value(nodes(spark), values, F.lit("D")).collect()}
     assert got["b"] == (None, "a") and got["a"] == (None, "self") and got["root"] == ("R", "self") and got["lone"] == ("D", "default") and got["x"] == ("D", "default")
     hop = {r.node: r.value for r in R.parent_fallback(nodes(spark), values).collect()}
     assert hop["a"] == "R" and hop["b"] is None
@@ -63,7 +63,7 @@ def test_resolution(spark):
     assert status == {("root", "m"): "new", ("root", "k"): "new", ("a", "m"): "overridden", ("a", "n"): "new", ("a", "k"): "inherited", ("b", "m"): "inherited", ("b", "k"): "inherited", ("b", "n"): "inherited"}
     tiers = R.expand_tiers(R.roots(nodes(spark)), spark.createDataFrame([("t", "root"), ("u", "b")], "tier string, id string"))
     assert {(r.tier, r.id) for r in tiers.collect()} == {("t", "root"), ("t", "a"), ("t", "b"), ("u", "b")}
-    buckets = {r.node: r.bucket for r in R.priority_bucket(chain, [("first", "a"), ("second", "root")]).collect()}
+    buckets = {r.node: r.bucket for r in R.priority_bucket(nodes(spark), [("first", "a"), ("second", "root")]).collect()}
     assert buckets["b"] == "first" and buckets["root"] == "second" and buckets["lone"] == "non_retryable"
 
 
