@@ -26,8 +26,6 @@ CAPACITY = 2048
 ROUNDS, LATER_ROUNDS = 64, 24
 #: How far the logarithm of a size's weight falls while its need is covered once.
 DECAY = 8.0
-#: Containers below which a residue is packed by best fit.
-RESIDUE = 64
 #: Items of one (size, bucket) group that a task numbers.
 ITEMS_PER_BUCKET = 200_000
 
@@ -110,7 +108,7 @@ def best_fit(need: dict[int, int], capacity: int) -> Plan:
 
 def _by_program(histogram: dict[int, int], capacity: int) -> Counter:
     left, out, rounds = dict(histogram), Counter(), ROUNDS
-    while left and sum(s * n for s, n in left.items()) > RESIDUE * capacity:
+    while left:
         taken = 0
         for chosen, x in sorted(weigh(left, capacity, rounds), key=lambda c: -c[1]):
             k = min([int(x + 0.5), *(left.get(s, 0) // a for s, a in chosen.items())])
