@@ -17,8 +17,6 @@ from lamella.plans.runtime import broadcast_if_small, durable
 ROWS_PER_TASK = 1_000_000
 #: Parent rows of one range; its sorted arrays are held in memory while it is probed.
 PARENTS_PER_RANGE = 250_000
-#: Most listing times that go to the tasks as one array (8 bytes each).
-TIMES_BOUND = 1_000_000
 
 MISSES = "ref_id long, label string, at_us long, reason string"
 _OUT = pa.schema([("ref_id", pa.int64()), ("label", pa.string()), ("at_us", pa.int64()), ("reason", pa.string())])
@@ -37,18 +35,48 @@ def _range_of(hashed: Column, n: int) -> Column:
     return F.least(F.floor(unit * n), F.lit(n - 1)).cast("int")
 
 
-def _in_force_by_window(refs: DataFrame, times: DataFrame) -> DataFrame:
-    """``force_us`` of each reference, without gathering the times: windows inside days, and a carry of one row per day."""
-    day = F.floor(F.col("at_us") / 86_400_000_000)
-    last = times.groupBy(day.alias("day")).agg(F.max("at_us").alias("m"))
-    days = refs.select(day.alias("day")).where("day is not null").distinct().join(last, "day", "full")
-    before = F.last("m", ignorenulls=True).over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1))
-    carry = days.select("day", before.alias("before_us"))
-    marks = times.select(F.col("at_us"), F.col("at_us").alias("listed_us"), F.lit(0).alias("is_ref"))
-    both = refs.withColumn("is_ref", F.lit(1)).unionByName(marks, allowMissingColumns=True).withColumn("day", day)
-    w = Window.partitionBy("day").orderBy("at_us", "is_ref")
-    seen = both.withColumn("in_day", F.last("listed_us", ignorenulls=True).over(w)).where("is_ref = 1")
-    return seen.join(carry, "day", "left").withColumn("force_us", F.coalesce("in_day", "before_us")).select(*refs.columns, "force_us")
+_PLACED = "part int, is_ref int, ref_id long, label string, at_us long, key string, force_us long"
+_PLACED_SCHEMA = pa.schema([("part", pa.int32()), ("is_ref", pa.int32()), ("ref_id", pa.int64()), ("label", pa.string()), ("at_us", pa.int64()), ("key", pa.string()), ("force_us", pa.int64())])
+
+
+def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one range in order of time: references with the last list before them in the range, and one row with the range's last list."""
+    from pyspark import TaskContext
+
+    part, last = TaskContext.get().partitionId(), _NEVER
+    for b in batches:
+        at, is_ref = b["at_us"].fill_null(_NEVER).to_numpy(), b["is_ref"].to_numpy()
+        if not len(at):
+            continue
+        seen = np.maximum.accumulate(np.maximum(np.where(is_ref == 0, at, _NEVER), last))
+        last = int(seen[-1])
+        own = is_ref == 1
+        if own.any():
+            r = b.filter(pa.array(own))
+            force = pa.array(seen[own], pa.int64(), mask=seen[own] == _NEVER)
+            cols = [pa.array(np.full(r.num_rows, part, np.int32)), r["is_ref"].cast(pa.int32()), r["ref_id"], r["label"], r["at_us"], r["key"], force]
+            yield pa.RecordBatch.from_arrays(cols, schema=_PLACED_SCHEMA)
+    if last != _NEVER:
+        yield pa.RecordBatch.from_pylist([{"part": part, "is_ref": 0, "at_us": last}], schema=_PLACED_SCHEMA)
+
+
+def _in_force(refs: DataFrame, times: DataFrame) -> DataFrame:
+    """``refs`` (ref_id, label, at_us, key) with ``force_us``, the latest of ``times`` (at_us) not after them, or null.
+
+    References and lists are sorted by time together, in ranges that also spread references of one time
+    by their hash, so a time that most of them share is many ranges. What a range lacks is the last list of those
+    before it, one row for each range.
+    """
+    width = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marks = times.select(F.lit(None).cast("long").alias("ref_id"), F.lit(None).cast("string").alias("label"), "at_us", F.lit(None).cast("string").alias("key"), F.lit(0).alias("is_ref"), F.lit(0).cast("long").alias("salt"))
+    both = refs.select("ref_id", "label", "at_us", "key", F.lit(1).alias("is_ref"), F.xxhash64("ref_id").alias("salt")).unionByName(marks)
+    order = ["at_us", "is_ref", "salt"]
+    laid = durable(both.repartitionByRange(width, *order).sortWithinPartitions(*order).mapInArrow(_fill, _PLACED))
+    w = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = laid.groupBy("part").agg(F.max(F.when(F.col("is_ref") == 0, F.col("at_us"))).alias("m"))
+    carry = parts.select("part", F.max("m").over(w).alias("before"))
+    found = laid.where("is_ref = 1").join(broadcast_if_small(carry), "part", "left")
+    return found.select("ref_id", "label", "at_us", "key", F.coalesce("force_us", "before").alias("force_us"))
 
 
 def _spans(*columns: np.ndarray) -> list[tuple[int, int]]:
@@ -118,7 +146,7 @@ def _probe(store: _Store, b: pa.RecordBatch, force: np.ndarray) -> pa.RecordBatc
     return out.filter(pc.is_valid(out["reason"]))
 
 
-def _prober(times: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _prober() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, parents, store, previous = None, [], None, None
         for batch in batches:
@@ -133,11 +161,7 @@ def _prober(times: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], It
                 if store is None:
                     store, parents = _Store(parents or [b.slice(0, 0)]), []
                 ids, at = b["ref_id"].to_numpy(), b["at_us"].fill_null(_NEVER).to_numpy()
-                if times is None:
-                    force = b["force_us"].fill_null(_NEVER).to_numpy()
-                else:
-                    i = np.searchsorted(times, at, "right")
-                    force = np.where(i > 0, times[i - 1] if len(times) else _NEVER, _NEVER)
+                force = b["force_us"].fill_null(_NEVER).to_numpy()
                 once = np.ones(len(ids), bool)
                 if len(ids) > 1:
                     once[1:] = (ids[1:] != ids[:-1]) | (at[1:] != at[:-1]) | (b["h"].to_numpy()[1:] != b["h"].to_numpy()[:-1])
@@ -190,12 +214,7 @@ def orphan_references(
         F.col(ref_id).cast("long").alias("ref_id"), F.col(label).cast("string").alias("label"), us(at).alias("at_us"),
         normal_key(F.col(key)).alias("key"),
     ).where("key is not null")
-    times = None
-    if lists.limit(TIMES_BOUND + 1).count() <= TIMES_BOUND:
-        times = np.array(sorted(r[0] for r in lists.collect()), dtype=np.int64)
-        slim = slim.withColumn("force_us", F.lit(None).cast("long"))
-    else:
-        slim = _in_force_by_window(slim, lists)
+    slim = _in_force(slim, lists)
     n = max(1, math.ceil(parents.count() / PARENTS_PER_RANGE))
     h = F.xxhash64("key")
     slim = slim.withColumn("h", h).withColumn("rng", _range_of(F.col("h"), n))
@@ -217,7 +236,7 @@ def orphan_references(
     )
     width = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = both.repartition(max(1, min(tasks * 2, width * 4)), "rng", "salt").sortWithinPartitions("rng", "salt", "kind", "h", "key", "at_us", "ref_id")
-    return laid.mapInArrow(_prober(times), MISSES)
+    return laid.mapInArrow(_prober(), MISSES)
 
 
 def orphan_report(misses: DataFrame, refs: DataFrame, *, key: str, at: str, label: str) -> DataFrame:
