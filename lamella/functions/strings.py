@@ -90,6 +90,16 @@ def rate_limit_bucket(rate: Column, size: Column, cost: Column) -> Column:
     return F.struct(refill.alias("refill_per_second"), F.coalesce(size, F.lit(1.0)).alias("max_size"), F.coalesce(cost, F.lit(1.0)).alias("cost"), reason.alias("reason"))
 
 
+def rate_limit_algorithm(of_bucket: Column, of_entity: Column) -> Column:
+    """Algorithm of a bucket: its own, else that of the entity, else the default."""
+    return F.coalesce(of_bucket, of_entity, F.lit("leakyBucket"))
+
+
+def strip_functions_at_depth(text: Column) -> Column:
+    """``"__function:Name"`` to ``"Name"`` in all strings of a JSON text."""
+    return F.regexp_replace(text, r'"__function:', '"')
+
+
 def jaro(a: str, b: str) -> float:
     """Jaro similarity of two texts: 1 for equal ones, 0 without a common character in reach."""
     if a == b:

@@ -55,11 +55,12 @@ def occurrence_counts(rows: DataFrame, *, name: str, entity: str) -> DataFrame:
 
 
 def family_stats(rows: DataFrame, *, name: str, known: Sequence[str]) -> DataFrame:
-    """Per family: occurrences, distinct names, and the names by falling count, then name."""
+    """Per family: occurrences, their share of all, distinct names, and the names by falling count, then name."""
     each = rows.where(F.col(name).isNotNull()).groupBy(name_family(F.col(name), known).alias("family"), F.col(name).alias("name")).agg(F.count("*").alias("n"))
     order = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("name"))))
+    total = F.lit(rows.where(F.col(name).isNotNull()).count())
     return each.groupBy("family").agg(
-        F.sum("n").alias("occurrences"), F.count("*").alias("names"), F.array_join(F.transform(order, lambda x: x["name"]), ",").alias("members")
+        F.sum("n").alias("occurrences"), percent(F.sum("n"), total).alias("pct"), F.count("*").alias("names"), F.array_join(F.transform(order, lambda x: x["name"]), ",").alias("members")
     )
 
 
@@ -122,3 +123,15 @@ def top_rows(rows: DataFrame, *, by: Sequence[str], order: Sequence[Column], k:
     """The first ``k`` rows of each group by ``order``, numbered; ``k`` is the report's length."""
     w = Window.partitionBy(*by).orderBy(*order)
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def trait_anomalies(rows: DataFrame, *, by: Sequence[str], traits: Sequence[str], id: str, threshold: float = 0.8) -> DataFrame:
+    """Rows that differ from their group in traits that dominate it: (id, *by, traits as sorted text).
+
+    A trait without a dominant value in the group tells nothing; a null trait differs from a dominant one.
+    Dominants are a row per group and trait.
+    """
+    long = rows.select(id, *by, F.explode(F.array(*[F.struct(F.lit(t).alias("trait"), F.col(t).cast("string").alias("value")) for t in traits])).alias("t")).select(id, *by, "t.*")
+    best = dominant_value(long, by=[*by, "trait"], value="value", threshold=threshold)
+    odd = anomalies(long, best, by=[*by, "trait"], value="value")
+    return odd.groupBy(id, *by).agg(F.array_join(F.array_sort(F.collect_set("trait")), ",").alias("traits"))

@@ -92,9 +92,26 @@ def override_classes(chain: DataFrame, members: DataFrame) -> DataFrame:
     return both.select("node", "name", F.when(F.col("own") + F.col("above") == 2, "overridden").when(F.col("own") == 1, "new").otherwise("inherited").alias("status"))
 
 
-def expand_tiers(rooted: DataFrame, tier_roots: DataFrame) -> DataFrame:
-    """Members of each tier: nodes whose root is one of its roots, and the roots themselves in any case: (tier, id)."""
-    below = rooted.join(tier_roots.select("tier", F.col("id").alias("root")), "root").select("tier", F.col("node").alias("id"))
+def walk_up(nodes: DataFrame, steps: int, *, stop: str | None = None) -> DataFrame:
+    """(node, top): where at most ``steps`` (a power of two) steps to the parent lead from each node.
+
+    A walk ends at a node without a parent, whose parent is no node, itself or ``stop``. Steps are
+    doubled, so ``steps`` of them take log2 joins; a cycle ends a walk nowhere but by its steps.
+    """
+    known = durable(nodes.where("node is not null").groupBy("node").agg(F.max("parent").alias("parent")))
+    has = known.select(F.col("node").alias("parent"), F.lit(True).alias("has"))
+    ends = ~F.coalesce("has", F.lit(False)) | (F.col("parent") == F.lit(stop) if stop is not None else F.lit(False))
+    at = durable(known.join(has, "parent", "left").select("node", F.when(ends, F.col("node")).otherwise(F.col("parent")).alias("top")))
+    done = 1
+    while done < steps:
+        at = durable(at.join(at.select(F.col("node").alias("top"), F.col("top").alias("next")), "top").select("node", F.col("next").alias("top")))
+        done *= 2
+    return at
+
+
+def expand_tiers(nodes: DataFrame, tier_roots: DataFrame, *, steps: int = 8, stop: str | None = "Exchange") -> DataFrame:
+    """Members of each tier: nodes that a walk of at most ``steps`` parents leads to one of its roots, and the roots themselves in any case: (tier, id)."""
+    below = walk_up(nodes, steps, stop=stop).join(tier_roots.select("tier", F.col("id").alias("top")), "top").select("tier", F.col("node").alias("id"))
     return below.unionByName(tier_roots.select("tier", "id")).distinct()
 
 

@@ -92,3 +92,16 @@ def coverage_summary(scores: DataFrame) -> DataFrame:
         F.count("*").alias("entities"), F.count(F.when(F.col("pct") == 100.0, 1)).alias("full"), F.count(F.when(F.col("pct") == 0.0, 1)).alias("none"),
         F.count(F.when((F.col("pct") > 0) & (F.col("pct") < 100), 1)).alias("partial"), F.coalesce(F.round(F.avg("pct"), 1), F.lit(0.0)).alias("mean_pct"),
     )
+
+
+def layer_counts(presence: DataFrame, layers: Mapping[str, tuple[Column, Column, Column]]) -> DataFrame:
+    """Per layer: entities that have it, those it applies to, and gaps: (layer, present, applicable, gaps)."""
+    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("layer"), p.alias("p"), a.alias("a")) for n, (p, a, _) in layers.items()]))
+    return presence.select(cells.alias("c")).groupBy(F.col("c.layer").alias("layer")).agg(
+        F.count(F.when(F.col("c.p"), 1)).alias("present"), F.count(F.when(F.col("c.a"), 1)).alias("applicable"), F.count(F.when(F.col("c.a") & ~F.col("c.p"), 1)).alias("gaps")
+    )
+
+
+def undefined_mean(density: DataFrame) -> DataFrame:
+    """Mean of the entities' (rounded) shares, each entity alike."""
+    return density.agg(F.count("*").alias("entities"), F.coalesce(F.round(F.avg("pct"), 1), F.lit(0.0)).alias("mean_pct"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lamella.operators.scope import merge_scope_values
+
 
 def scoped_upsert(existing: DataFrame, new: DataFrame, scope: DataFrame | None, *, id: str = "id") -> DataFrame:
     """Existing rows outside the scope and all new rows.
@@ -53,6 +55,23 @@ def keep_first(rows: DataFrame, *, key: Sequence[str], order: Sequence[Column])
     return best.select(*key, *[F.col(f"r.{c}").alias(c) for c in rest])
 
 
-def pivot_kinds(rows: DataFrame, *, id: str, kind: str, value: str, kinds: Sequence[str]) -> DataFrame:
-    """One column of the (least) value per kind for each id; kinds are a fixed list, so the pivot needs no pass to find them."""
-    return rows.groupBy(id).pivot(kind, list(kinds)).agg(F.min(value))
+def pivot_kinds(rows: DataFrame, *, id: str, kind: str, value: str, order: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    """One column per kind for each id: the first value by ``order`` (nulls first); kinds are a fixed list, so no pass is needed to find them."""
+    first = lambda k: F.min_by(F.when(F.col(kind) == k, F.col(value)), F.when(F.col(kind) == k, F.struct(*order)))
+    return rows.groupBy(id).agg(*[first(k).alias(k) for k in kinds])
+
+
+def aggregate(existing: DataFrame, new: DataFrame, scope: DataFrame | None, *, id: str = "id", old_stamp: Sequence[str] = (), new_stamp: Sequence[str] = (), tiers: Sequence[str] = (), stats: Mapping[str, Column] | None = None, readable: bool = True) -> tuple[DataFrame, DataFrame]:
+    """A dataset after a scoped upsert: its rows, to be read in order of ``id``, and its envelope of one row.
+
+    The envelope has the count, the union of the scope stamps (``all`` absorbs, tiers come first) and the given
+    statistics, which hold over the count where names clash. An existing dataset that cannot be read
+    (``readable`` false) is an error for a scoped write and is replaced by a full one.
+    """
+    if scope is not None and not readable:
+        raise ValueError("the existing dataset cannot be read; write it in full")
+    rows = scoped_upsert(existing, new, scope, id=id)
+    text = lambda values: F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    stamp = merge_scope_values(text(old_stamp if scope is not None else ()), text(new_stamp), list(tiers))
+    measures = {"count": F.count("*")} | dict(stats or {})
+    return rows.orderBy(id), rows.agg(*[c.alias(n) for n, c in measures.items()]).withColumn("tier_scope", F.array_join(stamp, ","))

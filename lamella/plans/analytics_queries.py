@@ -136,22 +136,50 @@ def undefined_density(spark, d):
     return V.undefined_density(read_table(spark, d, "load_markets"), entity="exchange", fields=["symbol", "base", "quote", "market_type", "linear", "inverse"])
 
 
-LAYERS = ("describe", "methods_rest", "parse_methods", "sign_method", "url_templates")
+# Datasets that coverage layers look for.
+LAYERS = ("describe", "methods_rest", "methods_ws", "sign_method", "handle_errors", "parse_methods", "ws_methods", "overrides")
 
 
 def coverage_rows(spark, d):
     e = read_table(spark, d, "exchanges").select(F.explode("exchanges").alias("e")).select(normal_key(F.col("e.id")).alias("id"), "e.alias", "e.pro").where("id is not null")
     e = e.groupBy("id").agg(F.max("alias").alias("alias"), F.max("pro").alias("pro"))
     have = dataset_rows(spark, d).groupBy("id").pivot("dataset", list(LAYERS)).agg(F.count(F.lit(1)))
-    return e.join(have, "id", "left")
+    loads = read_table(spark, d, "load_manifest").groupBy(normal_key(F.col("exchange")).alias("id")).agg(F.max(F.col("status") == "succeeded").alias("loaded"), F.lit(True).alias("tried"))
+    classes = read_table(spark, d, "class_hierarchy").select(normal_key(F.col("id")).alias("id")).distinct().withColumn("classed", F.lit(True))
+    return e.join(have, "id", "left").join(loads.where("id is not null"), "id", "left").join(classes.where("id is not null"), "id", "left")
+
+
+def coverage_layers():
+    """Present, applicable and the reason of a gap of each of the ten layers."""
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    has = lambda n: F.coalesce(F.col(n), F.lit(0)) > 0
+    plain, every, lost = ~yes("alias"), F.lit(True), F.lit("not_found")
+    return {
+        "describe": (has("describe"), plain, F.lit("not_extracted")),
+        "load_markets": (yes("loaded"), plain, F.when(yes("tried"), "failed").otherwise("not_extracted")),
+        "class_hierarchy": (yes("classed"), every, lost), "methods_rest": (has("methods_rest"), every, lost),
+        "methods_ws": (has("methods_ws"), has("methods_ws") | yes("pro"), lost),
+        "sign_method": (has("sign_method"), plain, lost), "handle_errors": (has("handle_errors"), plain, lost), "parse_methods": (has("parse_methods"), plain, lost),
+        "ws_methods": (has("ws_methods"), has("ws_methods") | yes("pro"), lost),
+        "overrides": (has("overrides"), has("overrides"), lost),
+    }
 
 
 def coverage(spark, d):
-    rows = coverage_rows(spark, d)
-    plain = ~F.coalesce(F.col("alias"), F.lit(False))
-    layers = {n: (F.coalesce(F.col(n), F.lit(0)) > 0, plain, F.lit("not_extracted")) for n in LAYERS[:3]}
-    layers |= {n: (F.coalesce(F.col(n), F.lit(0)) > 0, F.coalesce(F.col("pro"), F.lit(False)) | (F.coalesce(F.col(n), F.lit(0)) > 0), F.lit("pro_without_data")) for n in LAYERS[3:]}
-    return V.coverage(rows, layers, id="id")
+    return V.coverage(coverage_rows(spark, d), coverage_layers(), id="id")
+
+
+def coverage_by_layer(spark, d):
+    return V.layer_counts(coverage_rows(spark, d), coverage_layers())
+
+
+def undefined_mean(spark, d):
+    return V.undefined_mean(undefined_density(spark, d))
+
+
+def id_trait_anomalies(spark, d):
+    """Market ids that differ from their exchange and type in structure, letters or digits."""
+    return Q.trait_anomalies(id_rows(spark, d), by=["exchange", "market_type"], traits=["structure", "letter_case", "is_numeric"], id="row_no").select("row_no", "traits")
 
 
 def coverage_summary(spark, d):
@@ -169,11 +197,19 @@ def findings_rollup(spark, d):
 
 
 def exchange_counts(spark, d):
-    """Total, real (not alias) and pro entities, and class rows per kind."""
-    e = coverage_rows(spark, d).select("id", "alias", "pro")
-    n = e.agg(F.count("*").alias("total"), F.count(F.when(~F.coalesce("alias", F.lit(False)), 1)).alias("n_real"), F.count(F.when(F.col("pro"), 1)).alias("pro"))
-    c = read_table(spark, d, "class_hierarchy").agg(F.countDistinct(F.when(F.col("class_type") == "rest", F.col("node_key"))).alias("rest"), F.countDistinct(F.when(F.col("class_type") == "ws", F.col("node_key"))).alias("ws"))
-    return n.withColumn("one", F.lit(1)).join(F.broadcast(c.withColumn("one", F.lit(1))), "one").drop("one")
+    """Total, real (not alias), alias and pro entities; aliases without a class; class rows per kind; families of REST classes."""
+    alias = F.coalesce("alias", F.lit(False))
+    n = coverage_rows(spark, d).agg(
+        F.count("*").alias("total"), F.count(F.when(~alias, 1)).alias("n_real"), F.count(F.when(alias, 1)).alias("aliases"), F.count(F.when(F.col("pro"), 1)).alias("pro"),
+        F.count(F.when(alias & F.col("classed").isNull(), 1)).alias("orphan_aliases"),
+    )
+    t = read_table(spark, d, "class_hierarchy")
+    own = t.select("node_key", "class_type", F.regexp_replace("parent_key", r"(?U)^\s+|\s+$", "").alias("p"))
+    kinds = own.agg(F.countDistinct(F.when(F.col("class_type") == "rest", F.col("node_key"))).alias("rest"), F.countDistinct(F.when(F.col("class_type") == "ws", F.col("node_key"))).alias("ws"))
+    linked = own.where("class_type = 'rest'").join(own.select(F.col("node_key").alias("p")).distinct().withColumn("has", F.lit(True)), "p", "left").groupBy("node_key").agg(F.max("has").alias("has"))
+    families = linked.agg(F.count(F.when(F.col("has").isNull(), 1)).alias("families"))
+    one = F.lit(1)
+    return n.withColumn("one", one).join(F.broadcast(kinds.withColumn("one", one)), "one").join(F.broadcast(families.withColumn("one", one)), "one").drop("one")  # three single rows
 
 
 QUERIES = {
@@ -181,7 +217,7 @@ QUERIES = {
     for f in (
         key_frequency, key_tiers, tier_groups, distinct_keys, method_families, method_occurrences, base_spread, method_distribution, lines_per_order,
         cross_methods, flag_patterns, dominant_types, dominant_priority, id_structures, id_anomalies, symbol_examples, symbols_index, undefined_density,
-        coverage, coverage_summary, market_findings, findings_rollup, exchange_counts,
+        coverage, coverage_by_layer, coverage_summary, undefined_mean, id_trait_anomalies, market_findings, findings_rollup, exchange_counts,
     )
 }
 
@@ -213,12 +249,19 @@ def dominant_sql(source: str, by: str, value: str, threshold: float) -> str:
 
 ENTITY_SQL = f"entity AS (SELECT {_key('e.id')} AS id, bool_or(e.alias) AS alias, bool_or(e.pro) AS pro FROM (SELECT unnest(exchanges) AS e FROM exchanges) WHERE {_key('e.id')} IS NOT NULL GROUP BY 1)"
 _have = lambda n: f"(id IN (SELECT id FROM rows WHERE dataset = '{n}'))"
-_on = {n: "NOT coalesce(alias, false)" for n in LAYERS[:3]} | {n: f"(coalesce(pro, false) OR {_have(n)})" for n in LAYERS[3:]}
-_why = {n: "not_extracted" for n in LAYERS[:3]} | {n: "pro_without_data" for n in LAYERS[3:]}
+_plain, _pro = "NOT coalesce(alias, false)", "coalesce(pro, false)"
+_LAYER = {
+    "describe": (_have("describe"), _plain, "'not_extracted'"), "load_markets": ("(id IN (SELECT id FROM loaded WHERE good))", _plain, "CASE WHEN id IN (SELECT id FROM loaded) THEN 'failed' ELSE 'not_extracted' END"),
+    "class_hierarchy": ("(id IN (SELECT id FROM classed))", "true", "'not_found'"), "methods_rest": (_have("methods_rest"), "true", "'not_found'"),
+    "methods_ws": (_have("methods_ws"), f"({_pro} OR {_have('methods_ws')})", "'not_found'"), **{n: (_have(n), _plain, "'not_found'") for n in ("sign_method", "handle_errors", "parse_methods")},
+    "ws_methods": (_have("ws_methods"), f"({_pro} OR {_have('ws_methods')})", "'not_found'"), "overrides": (_have("overrides"), _have("overrides"), "'not_found'"),
+}
+_COVERED = f"""{ROWS_SQL}, {ENTITY_SQL},
+loaded AS (SELECT {_key('exchange')} AS id, bool_or(status = 'succeeded') AS good FROM load_manifest WHERE {_key('exchange')} IS NOT NULL GROUP BY 1), classed AS (SELECT DISTINCT {_key('id')} AS id FROM class_hierarchy WHERE {_key('id')} IS NOT NULL)"""
 COVERAGE_SQL = f"""
-WITH {ROWS_SQL}, {ENTITY_SQL},
-s AS (SELECT id, ({' + '.join(f'({_on[n]} AND {_have(n)})::INT' for n in LAYERS)})::BIGINT AS score, ({' + '.join(f'({_on[n]})::INT' for n in LAYERS)})::BIGINT AS max,
-  array_to_string(list_sort(list_filter([{', '.join(f"CASE WHEN {_on[n]} AND NOT {_have(n)} THEN '{n}: {_why[n]}' END" for n in LAYERS)}], lambda x: x IS NOT NULL)), '; ') AS gaps FROM entity)
+WITH {_COVERED},
+s AS (SELECT id, ({' + '.join(f'({a} AND {p})::INT' for p, a, _ in _LAYER.values())})::BIGINT AS score, ({' + '.join(f'({a})::INT' for _, a, _ in _LAYER.values())})::BIGINT AS max,
+  array_to_string(list_sort(list_filter([{', '.join(f"CASE WHEN {a} AND NOT {p} THEN '{n}: ' || {r} END" for n, (p, a, r) in _LAYER.items())}], lambda x: x IS NOT NULL)), '; ') AS gaps FROM entity)
 SELECT id, score, max, CASE WHEN max > 0 THEN round(score * 100.0::DOUBLE / max, 1) ELSE 0 END AS pct, gaps FROM s"""
 _u = lambda c: f"({c} IS NULL OR {c} = '__undefined')"
 _RULES = {
@@ -240,7 +283,7 @@ SQL = {
     "tier_groups": f"SELECT tier, count(*) AS n, string_agg(key, ',' ORDER BY key) AS keys FROM (SELECT key, {TIER_SQL} AS tier FROM ({FREQ_SQL})) GROUP BY tier",
     "distinct_keys": f"WITH {MEMBERS_SQL} SELECT DISTINCT name FROM members WHERE name IS NOT NULL",
     "method_families": f"""WITH {MEMBERS_SQL}, each AS (SELECT {FAMILY_SQL} AS family, name, count(*) AS n FROM members WHERE name IS NOT NULL GROUP BY ALL)
-SELECT family, CAST(sum(n) AS BIGINT) AS occurrences, count(*) AS names, string_agg(name, ',' ORDER BY n DESC, name) AS members FROM each GROUP BY family""",
+SELECT family, CAST(sum(n) AS BIGINT) AS occurrences, round(sum(n) * 100.0::DOUBLE / (SELECT count(*) FROM members WHERE name IS NOT NULL), 1) AS pct, count(*) AS names, string_agg(name, ',' ORDER BY n DESC, name) AS members FROM each GROUP BY family""",
     "method_occurrences": f"WITH {MEMBERS_SQL} SELECT name, count(*) AS occurrences, count(DISTINCT node_key) AS entities FROM members WHERE name IS NOT NULL GROUP BY name",
     "base_spread": """WITH t AS (SELECT count(DISTINCT exchange) AS total FROM load_markets), n AS (SELECT base AS name, count(DISTINCT exchange) AS n FROM load_markets WHERE base IS NOT NULL GROUP BY 1)
 SELECT name, n, s AS set FROM n, t, (VALUES ('universal'), ('unique'), ('rare')) v(s) WHERE (s = 'universal' AND n = total) OR (s = 'unique' AND n = 1) OR (s = 'rare' AND n < 5)""",
@@ -263,11 +306,18 @@ FROM (SELECT DISTINCT market_type, symbol FROM load_markets WHERE market_type IS
     "undefined_density": f"""SELECT exchange, count(*) * {len(_UNDEF)} AS fields, CAST(sum({' + '.join(f"coalesce(({c} = '__undefined')::INT, 0)" for c in _UNDEF)}) AS BIGINT) AS undefined,
   round(undefined * 100.0::DOUBLE / fields, 1) AS pct FROM load_markets GROUP BY exchange""",
     "coverage": COVERAGE_SQL,
+    "coverage_by_layer": f"WITH {_COVERED} " + " UNION ALL ".join(f"SELECT '{n}' AS layer, count(*) FILTER ({p}) AS present, count(*) FILTER ({a}) AS applicable, count(*) FILTER ({a} AND NOT {p}) AS gaps FROM entity" for n, (p, a, _) in _LAYER.items()),
+    "undefined_mean": f"""SELECT count(*) AS entities, coalesce(round(avg(pct), 1), 0) AS mean_pct FROM (SELECT exchange, round(CAST(sum({' + '.join(f"coalesce(({c} = '__undefined')::INT, 0)" for c in _UNDEF)}) AS BIGINT) * 100.0::DOUBLE / (count(*) * {len(_UNDEF)}), 1) AS pct FROM load_markets GROUP BY exchange)""",
+    "id_trait_anomalies": f"""WITH {IDS_SQL}, l AS (SELECT row_no, exchange, market_type, unnest([struct_pack(trait := 'structure', v := structure), struct_pack(trait := 'letter_case', v := letter_case), struct_pack(trait := 'is_numeric', v := is_numeric::VARCHAR)], recursive := true) FROM ids),
+best AS ({dominant_sql('l', 'exchange, market_type, trait', 'v', 0.8)})
+SELECT row_no, string_agg(trait, ',' ORDER BY trait) AS traits FROM l JOIN best b USING (exchange, market_type, trait) WHERE dominant IS NOT NULL AND v IS DISTINCT FROM dominant GROUP BY row_no""",
     "coverage_summary": f"""SELECT count(*) AS entities, count(*) FILTER (pct = 100) AS full, count(*) FILTER (pct = 0) AS none, count(*) FILTER (pct > 0 AND pct < 100) AS partial,
   coalesce(round(avg(pct), 1), 0) AS mean_pct FROM ({COVERAGE_SQL})""",
     "market_findings": FINDINGS_SQL,
     "findings_rollup": f"""SELECT r.rule, count(f.rule) AS n FROM (SELECT unnest([{', '.join(f"'{n}'" for n in [*_RULES, 'missing_symbol'])}]) AS rule) r
 LEFT JOIN ({FINDINGS_SQL}) f ON f.rule = r.rule GROUP BY r.rule""",
-    "exchange_counts": f"""WITH {ENTITY_SQL} SELECT count(*) AS total, count(*) FILTER (NOT coalesce(alias, false)) AS n_real, count(*) FILTER (pro) AS pro,
-  (SELECT count(DISTINCT node_key) FROM class_hierarchy WHERE class_type = 'rest') AS rest, (SELECT count(DISTINCT node_key) FROM class_hierarchy WHERE class_type = 'ws') AS ws FROM entity""",
+    "exchange_counts": rf"""WITH {ENTITY_SQL}, c AS (SELECT node_key, class_type, regexp_replace(parent_key, '^\s+|\s+$', '', 'g') AS p FROM class_hierarchy),
+l AS (SELECT node_key, bool_or(p IN (SELECT node_key FROM c WHERE node_key IS NOT NULL)) AS has FROM c WHERE class_type = 'rest' GROUP BY 1), k AS (SELECT DISTINCT {_key('id')} AS id FROM class_hierarchy WHERE {_key('id')} IS NOT NULL)
+SELECT count(*) AS total, count(*) FILTER (NOT coalesce(alias, false)) AS n_real, count(*) FILTER (alias) AS aliases, count(*) FILTER (pro) AS pro, count(*) FILTER (alias AND id NOT IN (SELECT id FROM k)) AS orphan_aliases,
+  (SELECT count(DISTINCT node_key) FROM class_hierarchy WHERE class_type = 'rest') AS rest, (SELECT count(DISTINCT node_key) FROM class_hierarchy WHERE class_type = 'ws') AS ws, (SELECT count(*) FROM l WHERE NOT coalesce(has, false)) AS families FROM entity""",
 }

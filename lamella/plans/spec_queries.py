@@ -61,10 +61,10 @@ def root_ancestor(spark, d):
 
 def tier_expansion(spark, d):
     """Families below two tiers of roots: roots with at least 10 members, and those with 3 to 9."""
-    rooted = durable(R.roots(class_edges(spark, d)))
-    size = rooted.groupBy("root").agg(F.count("*").alias("n"))
+    edges = durable(class_edges(spark, d))
+    size = R.roots(edges).groupBy("root").agg(F.count("*").alias("n"))
     tiers = size.select(F.when(F.col("n") >= 10, "tier1").when(F.col("n") >= 3, "tier2").alias("tier"), F.col("root").alias("id")).where("tier is not null")
-    return R.expand_tiers(rooted, tiers)
+    return R.expand_tiers(edges, durable(tiers))
 
 
 def nearest_stream_method(spark, d):
@@ -177,21 +177,39 @@ def vocabulary(spark, d):
     return S.restrict_vocabulary(m, allowed, off).groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("key")), ",").alias("keys"))
 
 
+# Datasets of discoveries that an assembled entity counts.
+DATASETS = ("describe", "methods_rest", "methods_ws", "parse_methods", "sign_method", "ws_methods", "handle_errors", "url_templates", "symbol_patterns", "rate_limits")
+
+
 def assembly(spark, d):
-    """One row per entity with what each dataset has about it (left joins by id, sides reduced first)."""
+    """One row per entity with what each dataset has about it; an entity without has the default record, zeros and nulls.
+
+    Left joins by id; every side is reduced to a row per id before it meets the others, so a hot entity is one row.
+    """
     e = entities(spark, d)
-    markets = read_table(spark, d, "load_markets").groupBy(normal_key(F.col("exchange")).alias("id")).agg(F.count("*").alias("markets"), F.countDistinct("symbol").alias("symbols"))
-    outputs = read_table(spark, d, "exchange_output").groupBy(normal_key(F.col("exchange")).alias("id")).agg(F.count("*").alias("outputs"), F.max("schema_version").alias("schema_version"))
-    fixtures = read_table(spark, d, "signing_fixture").groupBy(normal_key(F.col("exchange")).alias("id")).agg(F.sum(F.greatest(F.size("cases"), F.lit(0)).cast("long")).alias("cases"))
-    errors = read_table(spark, d, "error_class_hierarchy").groupBy(normal_key(F.col("exchange")).alias("id")).agg(F.countDistinct("tree_no").alias("trees"))
-    for side in (markets, outputs, fixtures, errors):
+    of = lambda name, *aggs, key="exchange", where="true": read_table(spark, d, name).where(where).groupBy(normal_key(F.col(key)).alias("id")).agg(*aggs)
+    by_dataset = [F.count(F.when(F.col("dataset") == n, 1)).alias(f"in_{n}") for n in DATASETS]
+    sides = [
+        of("load_markets", F.count("*").alias("markets"), F.countDistinct("symbol").alias("symbols"), F.countDistinct("ccxt_version").alias("loads")),
+        of("exchange_output", F.count("*").alias("outputs"), F.max("schema_version").alias("schema_version"), *[F.count(c).alias(f"with_{c}") for c in ("endpoints", "auth", "websocket")]),
+        of("signing_fixture", F.sum(F.greatest(F.size("cases"), F.lit(0)).cast("long")).alias("cases"), F.sum(F.greatest(F.size("skipped"), F.lit(0)).cast("long")).alias("skipped")),
+        of("error_class_hierarchy", F.countDistinct("tree_no").alias("trees"), F.sum(F.greatest(F.size("ancestors"), F.lit(0)).cast("long")).alias("error_classes")),
+        of("load_manifest", F.count("*").alias("attempts"), F.count(F.when(F.col("status") == "failed", 1)).alias("failed")),
+        of("class_hierarchy", F.countDistinct("node_key").alias("rest_classes"), F.max("method_count").alias("rest_methods"), key="id", where="class_type = 'rest'"),
+        of("class_hierarchy", F.countDistinct("node_key").alias("ws_classes"), F.max("method_count").alias("ws_methods"), key="id", where="class_type = 'ws'"),
+        of("documents", F.count("*").alias("texts"), F.sum("n_chars").cast("long").alias("chars")),
+        of("discoveries", F.count("*").alias("discoveries"), *by_dataset, key="id"),
+    ]
+    defaults = {}
+    for side in sides:
+        defaults |= {f.name: 0 for f in side.schema.fields if f.name != "id" and f.dataType.simpleString() in ("bigint", "int")}
         e = e.join(side.where("id is not null"), "id", "left")
-    return e
+    return e.fillna(defaults)
 
 
 def kind_pivot(spark, d):
     t = read_table(spark, d, "class_hierarchy")
-    return U.pivot_kinds(t, id="id", kind="class_type", value="node_key", kinds=["rest", "ws"])
+    return U.pivot_kinds(t, id="id", kind="class_type", value="node_key", order=["extracted_at", "node_key"], kinds=["rest", "ws"])
 
 
 # ---- upserts -----------------------------------------------------------------------------------
@@ -417,7 +435,7 @@ SQL = {
     "ancestor_closure": f"WITH RECURSIVE {CHAIN_SQL} SELECT node, ancestor, distance FROM chain",
     "root_ancestor": f"WITH RECURSIVE {CHAIN_SQL} SELECT node, root, depth::BIGINT AS depth FROM down",
     "tier_expansion": f"""WITH RECURSIVE {CHAIN_SQL}, size AS (SELECT root, count(*) AS n FROM down GROUP BY root), t AS (SELECT CASE WHEN n >= 10 THEN 'tier1' ELSE 'tier2' END AS tier, root FROM size WHERE n >= 3)
-SELECT tier, node AS id FROM down JOIN t USING (root) UNION SELECT tier, root FROM t""",
+SELECT tier, node AS id FROM down JOIN t ON t.root = path[greatest(1, len(path) - 8)] UNION SELECT tier, root FROM t""",
     "nearest_stream_method": f"""WITH RECURSIVE {CHAIN_SQL}, v AS (SELECT node_key AS ancestor, max(method_count) AS value FROM class_hierarchy WHERE list_contains(methods, 'watchOrderBook') GROUP BY 1),
 f AS (SELECT node, arg_min(struct_pack(a := ancestor, v := value, d := distance), distance) AS f FROM chain JOIN v USING (ancestor) GROUP BY node)
 SELECT e.node, coalesce(f.f.v, -1) AS value, CASE WHEN f.f IS NULL THEN 'default' WHEN f.f.d = 0 THEN 'self' ELSE f.f.a END AS origin, f.f.d AS distance FROM edges e LEFT JOIN f ON f.node = e.node""",
@@ -452,12 +470,18 @@ SELECT e.id, coalesce(max(tier), 'unclassified') AS tier FROM entity e LEFT JOIN
 FROM exchanges GROUP BY extracted_at""",
     "vocabulary": f"""WITH {METHODS_SQL}, off AS (SELECT DISTINCT node_key AS node, unnest(methods) AS name FROM class_hierarchy WHERE method_count > 8)
 SELECT node AS id, string_agg(name, ',' ORDER BY name) AS keys FROM methods m WHERE name IN (SELECT name FROM methods WHERE starts_with(node, 'ws:')) AND NOT EXISTS (SELECT 1 FROM off o WHERE o.node = m.node AND o.name = m.name) GROUP BY node""",
-    "assembly": f"""{_E}, m AS (SELECT {_key('exchange')} AS id, count(*) AS markets, count(DISTINCT symbol) AS symbols FROM load_markets GROUP BY 1),
-o AS (SELECT {_key('exchange')} AS id, count(*) AS outputs, max(schema_version) AS schema_version FROM exchange_output GROUP BY 1),
-f AS (SELECT {_key('exchange')} AS id, CAST(sum(coalesce(len(cases), 0)) AS BIGINT) AS cases FROM signing_fixture GROUP BY 1),
-t AS (SELECT {_key('exchange')} AS id, count(DISTINCT tree_no) AS trees FROM error_class_hierarchy GROUP BY 1)
-SELECT e.*, markets, symbols, outputs, schema_version, cases, trees FROM entity e LEFT JOIN m USING (id) LEFT JOIN o USING (id) LEFT JOIN f USING (id) LEFT JOIN t USING (id)""",
-    "kind_pivot": "SELECT id, min(node_key) FILTER (class_type = 'rest') AS rest, min(node_key) FILTER (class_type = 'ws') AS ws FROM class_hierarchy GROUP BY id",
+    "assembly": f"""{_E}, m AS (SELECT {_key('exchange')} AS id, count(*) AS markets, count(DISTINCT symbol) AS symbols, count(DISTINCT ccxt_version) AS loads FROM load_markets GROUP BY 1),
+o AS (SELECT {_key('exchange')} AS id, count(*) AS outputs, max(schema_version) AS schema_version, count(endpoints) AS with_endpoints, count(auth) AS with_auth, count(websocket) AS with_websocket FROM exchange_output GROUP BY 1),
+f AS (SELECT {_key('exchange')} AS id, CAST(sum(coalesce(len(cases), 0)) AS BIGINT) AS cases, CAST(sum(coalesce(len(skipped), 0)) AS BIGINT) AS skipped FROM signing_fixture GROUP BY 1),
+t AS (SELECT {_key('exchange')} AS id, count(DISTINCT tree_no) AS trees, CAST(sum(coalesce(cardinality(ancestors), 0)) AS BIGINT) AS error_classes FROM error_class_hierarchy GROUP BY 1),
+l AS (SELECT {_key('exchange')} AS id, count(*) AS attempts, count(*) FILTER (status = 'failed') AS failed FROM load_manifest GROUP BY 1),
+cr AS (SELECT {_key('id')} AS id, count(DISTINCT node_key) AS rest_classes, max(method_count) AS rest_methods FROM class_hierarchy WHERE class_type = 'rest' GROUP BY 1),
+cw AS (SELECT {_key('id')} AS id, count(DISTINCT node_key) AS ws_classes, max(method_count) AS ws_methods FROM class_hierarchy WHERE class_type = 'ws' GROUP BY 1),
+x AS (SELECT {_key('exchange')} AS id, count(*) AS texts, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY 1),
+i AS (SELECT {_key('id')} AS id, count(*) AS discoveries, {', '.join(f"count(*) FILTER (dataset = '{n}') AS in_{n}" for n in DATASETS)} FROM discoveries GROUP BY 1)
+SELECT e.id, e.alias, e.pro, schema_version, {', '.join(f"coalesce({c}, 0) AS {c}" for c in ("markets", "symbols", "loads", "outputs", "with_endpoints", "with_auth", "with_websocket", "cases", "skipped", "trees", "error_classes", "attempts", "failed", "rest_classes", "rest_methods", "ws_classes", "ws_methods", "texts", "chars", "discoveries", *(f"in_{n}" for n in DATASETS)))}
+FROM entity e {' '.join(f"LEFT JOIN {a} ON {a}.id = e.id" for a in ("m", "o", "f", "t", "l", "cr", "cw", "x", "i"))}""",
+    "kind_pivot": "SELECT id, arg_min(node_key, (coalesce(extracted_at, TIMESTAMP '1900-01-01'), node_key)) FILTER (class_type = 'rest') AS rest, arg_min(node_key, (coalesce(extracted_at, TIMESTAMP '1900-01-01'), node_key)) FILTER (class_type = 'ws') AS ws FROM class_hierarchy GROUP BY id",
     "upsert_customers": """SELECT c_custkey, c_nationkey, c_acctbal FROM customer WHERE c_nationkey <> 3
 UNION ALL SELECT c_custkey, c_nationkey, round(c_acctbal * 2, 2) FROM customer WHERE c_nationkey = 3 AND c_acctbal > 0""",
     "envelope_counts": f"""{_E}, en AS (SELECT DISTINCT envelope_no, {_key('e.id')} AS id FROM (SELECT envelope_no, unnest(exchanges) AS e FROM exchanges)),

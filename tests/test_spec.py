@@ -61,7 +61,7 @@ def test_resolution(spark):
     members = spark.createDataFrame([("root", "m"), ("root", "k"), ("a", "m"), ("a", "n")], "node string, name string")
     status = {(r.node, r.name): r.status for r in R.override_classes(chain, members).collect()}
     assert status == {("root", "m"): "new", ("root", "k"): "new", ("a", "m"): "overridden", ("a", "n"): "new", ("a", "k"): "inherited", ("b", "m"): "inherited", ("b", "k"): "inherited", ("b", "n"): "inherited"}
-    tiers = R.expand_tiers(R.roots(nodes(spark)), spark.createDataFrame([("t", "root"), ("u", "b")], "tier string, id string"))
+    tiers = R.expand_tiers(nodes(spark), spark.createDataFrame([("t", "root"), ("u", "b")], "tier string, id string"))
     assert {(r.tier, r.id) for r in tiers.collect()} == {("t", "root"), ("t", "a"), ("t", "b"), ("u", "b")}
     buckets = {r.node: r.bucket for r in R.priority_bucket(nodes(spark), [("first", "a"), ("second", "root")]).collect()}
     assert buckets["b"] == "first" and buckets["root"] == "second" and buckets["lone"] == "non_retryable"
