@@ -378,6 +378,17 @@ def class_tree(value: object, parent: str | None = None) -> Iterator[tuple]:
             yield from class_tree(v, k)
 
 
+def normal_types(value: object) -> Iterator[tuple]:
+    """(text): the tree with every ``type`` in Pascal case, keys sorted; other texts stay."""
+
+    def renamed(v: object) -> object:
+        if isinstance(v, dict):
+            return {k: "".join(p[:1].upper() + p[1:] for p in x.split("_")) if k == "type" and isinstance(x, str) else renamed(x) for k, x in v.items()}
+        return [renamed(x) for x in v] if isinstance(v, list) else v
+
+    yield (json.dumps(renamed(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False),)
+
+
 #: Derivations by name: function and the columns of its rows.
 DERIVATIONS: dict[str, tuple[Callable[[object], Iterator[tuple]], str]] = {
     "inventory": (inventory, "class string, parent string, method string, is_async boolean, params string, return_type string, statements long"),
@@ -391,6 +402,7 @@ DERIVATIONS: dict[str, tuple[Callable[[object], Iterator[tuple]], str]] = {
     "sign_dispatch": (sign_dispatch, "class string, position long, predicate string, sections string, is_else boolean"),
     "field_map": (field_map, "class string, method string, field string, key string, call string, reason string"),
     "class_tree": (class_tree, "class string, parent string"),
+    "normal_types": (normal_types, "text string"),
 }
 
 

@@ -44,6 +44,13 @@ def family_rollup(rooted: DataFrame, members: DataFrame) -> DataFrame:
     return rooted.where("node <> root").join(members.select("node", "name").distinct(), "node").groupBy("name").agg(F.count("*").alias("members"))
 
 
+def changed_names(edges: DataFrame, members: DataFrame) -> DataFrame:
+    """Names that a class and its parent both have, by how many classes change them: (name, classes)."""
+    own = members.select("node", "name").distinct()
+    above = own.select(F.col("node").alias("parent"), "name")
+    return edges.where("node <> parent").join(own, "node").join(above, ["parent", "name"]).groupBy("name").agg(F.count("*").alias("classes"))
+
+
 def type_inventory(documents: DataFrame, *, text: str, by: Sequence[str] = ()) -> DataFrame:
     """Top-level keys of JSON objects with the types of their values: (*by, key, type, n).
 

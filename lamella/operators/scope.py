@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamella.functions.strings import jaro_similarity
@@ -62,9 +62,9 @@ def closest(queries: DataFrame, universe: DataFrame, *, asked: str, known: str,
     """
     pairs = universe.select(F.col(known).alias("id")).distinct().crossJoin(F.broadcast(queries.select(asked).distinct()))
     scored = pairs.withColumn("score", jaro_similarity(asked, "id")).where(F.col("score") >= least)
-    best = scored.groupBy(asked).agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("k"), "id"))).alias("b"))
-    top = best.select(asked, F.posexplode(F.slice("b", 1, k)).alias("p", "x"))
-    return top.select(asked, F.col("x.id").alias("id"), F.round(-F.col("x.k"), 6).alias("score"), (F.col("p") + 1).alias("rank"))
+    # The window's limit is also applied before the shuffle, so each task sends k rows of a name at most.
+    place = F.row_number().over(Window.partitionBy(asked).orderBy(F.desc("score"), "id"))
+    return scored.withColumn("rank", place).where(F.col("rank") <= k).select(asked, "id", F.round("score", 6).alias("score"), "rank")
 
 
 def filter_ids(df: DataFrame, scope: DataFrame | None, *, id: str = "id") -> DataFrame:
