@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that are indexed at once; a longer text is indexed alone.
 CHUNK_BYTES = 2_000_000
-#: Rows of one output batch.
-OUT_ROWS = 50_000
 UNDEFINED = "__undefined"
 
 ROW = "source_table string, record_no long, entity string, parent_path string, record_path string"
@@ -202,6 +200,42 @@ class Index:
         kids = kids[np.argsort(holder[kids], kind="stable")]
         self.kids = kids
         self.kid_at = np.searchsorted(holder[kids], np.arange(m + 1))
+        self.null = (kind == 0) & (b[tok] == 110) if m else np.zeros(0, bool)
+        self.entry_kids = kids[kind[holder[kids]] == 1]
+        slashes = np.cumsum(slash)
+        self.slashed = (kind == 7) & (slashes[np.clip(stop - 1, 0, n - 1)] > slashes[tok]) & ~bad[tdoc] if m else np.zeros(0, bool)
+        self.absent = self.null | self.equals(np.arange(m), UNDEFINED)
+        self.known: dict[str, np.ndarray] = {}
+
+    def equals(self, t: np.ndarray, text: str) -> np.ndarray:
+        """Which of the tokens are strings that read as ``text``."""
+        raw = text.encode()
+        out = (self.kind[t] == 7) & (self.stop[t] - self.tok[t] == len(raw) + 2)
+        at = np.flatnonzero(out)
+        for j, byte in enumerate(raw):
+            at = at[self.b[self.tok[t[at]] + 1 + j] == byte]
+        out[:] = False
+        out[at] = True
+        for i in np.flatnonzero(self.slashed[t]).tolist():
+            out[i] = self.string(int(t[i])) == text
+        return out
+
+    def entry(self, key: str) -> np.ndarray:
+        """For every token the value of its entry ``key``, -1 without one; of equal keys the last."""
+        if key not in self.known:
+            out = np.full(len(self.tok), -1)
+            hit = self.entry_kids[self.equals(self.entry_kids - 2, key)]
+            out[self.holder[hit]] = hit
+            self.known[key] = out
+        return self.known[key]
+
+    def expand(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Children of all containers in ``t``: (index into t, position, child)."""
+        low = self.kid_at[t]
+        count = self.kid_at[t + 1] - low
+        src = np.repeat(np.arange(len(t)), count)
+        pos = np.arange(len(src)) - np.repeat(np.cumsum(count) - count, count)
+        return src, pos, self.kids[np.repeat(low, count) + pos]
 
     def items(self, t: int) -> list[int]:
         return self.kids[self.kid_at[t] : self.kid_at[t + 1]].tolist()
@@ -210,18 +244,6 @@ class Index:
         raw = self.data[self.tok[t] : self.stop[t]]
         return json.loads(raw) if b"\\" in raw else raw[1:-1].decode()
 
-    def entries(self, t: int) -> dict[str, int]:
-        """Entries of an object; of equal keys the last holds. The key is two tokens before its value."""
-        return {self.string(v - 2): v for v in self.items(t)}
-
-    def absent(self, t: int) -> bool:
-        """Null or the sentinel for undefined."""
-        k = self.kind[t]
-        return (k == 0 and self.data[self.tok[t] : self.stop[t]] == b"null") or (k == 7 and self.string(t) == UNDEFINED)
-
-    def null(self, t: int) -> bool:
-        return self.kind[t] == 0 and self.data[self.tok[t] : self.stop[t]] == b"null"
-
     def object_of(self, d: int) -> tuple[int | None, str | None]:
         """The text's object, below lists of one element; or the text inside, if it is a string."""
         if self.bad[d]:
@@ -234,36 +256,58 @@ class Index:
         return (t if self.kind[t] == 1 else None), None
 
 
-def children(ix: Index, t: int, level: Level, path: str, parent: str) -> Iterator[tuple[str, str, str]]:
-    """Rows (entity, parent path, record path) below the object ``t``, whose path is ``path``."""
-    for k in level.at:
-        t = ix.entries(t).get(k, -1) if ix.kind[t] == 1 else -1
-        if t < 0:
-            return
-        path += "/" + escape(k)
+def _names(ix: Index, level: Level, t: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Records of a level below the values ``t``: (index into t, name, value)."""
     kind = ix.kind[t]
     if level.form == "list":
-        if ix.absent(t):
-            return
-        found = [(str(i), x) for i, x in enumerate(ix.items(t)) if not ix.null(x)] if kind == 3 else [("0", t)]
-    elif kind == 1:
-        found = [(k, x) for k, x in ix.entries(t).items() if level.keep_null or not ix.absent(x)]
-    elif kind == 3:
-        named = {}
-        for i, x in enumerate(ix.items(t)):
-            if not ix.null(x):
-                name = ix.entries(x).get("name", -1) if ix.kind[x] == 1 else -1
-                named[ix.string(name) if name >= 0 and ix.kind[name] == 7 else str(i)] = x
-        found = list(named.items())
-    else:
+        lists = np.flatnonzero((kind == 3) & ~ix.absent[t])
+        src, pos, x = ix.expand(t[lists])
+        keep = ~ix.null[x]
+        bare = np.flatnonzero((kind != 3) & ~ix.absent[t])
+        names = [str(i) for i in pos[keep].tolist()] + ["0"] * len(bare)
+        return np.concatenate((lists[src[keep]], bare)), names, np.concatenate((x[keep], t[bare]))
+    maps = np.flatnonzero(kind == 1)
+    src, _, x = ix.expand(t[maps])
+    src = maps[src]
+    # Of equal keys the last holds.
+    last = {(s, ix.string(v - 2)): v for s, v in zip(src.tolist(), x.tolist())}
+    for i in np.flatnonzero(kind == 3).tolist():
+        for pos, v in enumerate(ix.items(int(t[i]))):
+            if not ix.null[v]:
+                name = ix.entry("name")[v] if ix.kind[v] == 1 else -1
+                last[i, ix.string(int(name)) if name >= 0 and ix.kind[name] == 7 else str(pos)] = v
+    src, names, x = np.fromiter((k[0] for k in last), np.int64, len(last)), [k[1] for k in last], np.fromiter(last.values(), np.int64, len(last))
+    listed = kind[src] == 3
+    keep = np.flatnonzero(listed | ~ix.absent[x]) if not level.keep_null else np.arange(len(x))
+    return src[keep], [names[i] for i in keep.tolist()], x[keep]
+
+
+def level_rows(ix: Index, level: Level, t: np.ndarray, doc: np.ndarray, path: list[str], parent: list[str]) -> Iterator[tuple[str, np.ndarray, list[str], list[str]]]:
+    """Rows of a level and those below it, per entity: (entity, texts, parent paths, record paths).
+
+    ``t`` are values of the texts ``doc`` at the paths ``path``. All texts of the index go down a level at once.
+    """
+    for k in level.at:
+        found = np.where(ix.kind[t] == 1, ix.entry(k)[t], -1)
+        at = np.flatnonzero(found >= 0)
+        step, rows = "/" + escape(k), at.tolist()
+        t, doc, path, parent = found[at], doc[at], [path[i] + step for i in rows], [parent[i] for i in rows]
+    if not len(t):
+        return
+    src, names, x = _names(ix, level, t)
+    if not len(x):
         return
-    for name, x in found:
-        own = f"{path}/{escape(name)}"
-        if level.entity:
-            yield level.entity, parent, own
-        for below in level.children:
-            if below.at or ix.kind[x] == 1 or level.entity is None:
-                yield from children(ix, x, below, own, own)
+    rows, docs = src.tolist(), doc[src]
+    own = [f"{path[i]}/{n if '/' not in n and '~' not in n else escape(n)}" for i, n in zip(rows, names)]
+    if level.entity:
+        yield level.entity, docs, [parent[i] for i in rows], own
+    for below in level.children:
+        if below.at or level.entity is None:
+            yield from level_rows(ix, below, x, docs, own, own)
+        else:
+            objects = np.flatnonzero(ix.kind[x] == 1)
+            inner = [own[i] for i in objects.tolist()]
+            yield from level_rows(ix, below, x[objects], docs[objects], inner, inner)
 
 
 def _chunks(rows: list[tuple]) -> Iterator[list[tuple]]:
@@ -278,21 +322,30 @@ def _chunks(rows: list[tuple]) -> Iterator[list[tuple]]:
         yield chunk
 
 
-def read_groups(rows: list[tuple[str, int, str, bytes]], layout: dict[str, tuple[Level, ...]]) -> Iterator[tuple]:
-    """Child rows of (source table, record number, group, text) rows."""
+def read_groups(rows: list[tuple[str, int, str, bytes]], layout: dict[str, tuple[Level, ...]]) -> Iterator[pa.RecordBatch]:
+    """Child rows of (source table, record number, group, text) rows, a batch per entity and chunk."""
     while rows:
         inner = []
         for chunk in _chunks(rows):
             ix = Index([r[-1] for r in chunk])
+            tables = pa.array([r[0] for r in chunk], pa.string())
+            numbers = pa.array([r[1] for r in chunk], pa.int64())
+            roots: dict[str, tuple[list[int], list[int]]] = {}
             for d, (table, number, group, _) in enumerate(chunk):
                 t, text = ix.object_of(d)
                 if text is not None:
                     inner.append((table, number, group, text.encode("utf-8", "replace")))
                 if t is not None:
-                    prefix = f"/{escape(group)}" if group else ""
-                    for level in layout[group]:
-                        for row in children(ix, t, level, prefix, ""):
-                            yield table, number, *row
+                    at = roots.setdefault(group, ([], []))
+                    at[0].append(t)
+                    at[1].append(d)
+            for group, (ts, ds) in roots.items():
+                prefix = f"/{escape(group)}" if group else ""
+                for level in layout[group]:
+                    for entity, docs, parents, own in level_rows(ix, level, np.array(ts), np.array(ds), [prefix] * len(ts), [""] * len(ts)):
+                        at = pa.array(docs)
+                        cols = [tables.take(at), numbers.take(at), pa.array([entity] * len(own), pa.string()), pa.array(parents, pa.string()), pa.array(own, pa.string())]
+                        yield pa.RecordBatch.from_arrays(cols, schema=_OUT)
         rows = inner  # texts inside texts, shorter each time
 
 
@@ -321,14 +374,7 @@ def flatten_nested(groups: DataFrame, layout: dict[str, tuple[Level, ...]]) -> D
                 for t, n, g, x in zip(b["source_table"].to_pylist(), b["record_no"].to_pylist(), b["group_name"].to_pylist(), texts.to_pylist())
                 if x is not None
             ]
-            out: list[tuple] = []
-            for row in read_groups(rows, layout):
-                out.append(row)
-                if len(out) >= OUT_ROWS:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _OUT)], schema=_OUT)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _OUT)], schema=_OUT)
+            yield from read_groups(rows, layout)
 
     known = groups.where(F.col("group_name").isin(*layout)).select("source_table", F.col("record_no").cast("long").alias("record_no"), "group_name", "group_text")
     return known.where("group_text is not null").mapInArrow(run, ROW)
