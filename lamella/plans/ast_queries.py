@@ -75,4 +75,17 @@ UNION ALL SELECT NULL, NULL, NULL, NULL, 'skip', count(*) FROM docs WHERE len(me
     "ast_parse_calls": f"WITH {_DOCS} SELECT method, 'parse' || upper(method[1]) || method[2:] AS called, count(*) AS n FROM m GROUP BY ALL",
     "ast_pagination": f"WITH {_DOCS} SELECT method, 'cursor' AS strategy, method AS target, count(*) AS n FROM m GROUP BY ALL",
     "ast_request_defaults": f"WITH {_DOCS} SELECT method, 'kind' AS key, '1' AS value, 'literal' AS kind, count(*) AS n FROM m GROUP BY ALL",
+    "ast_interface_calls": f"""WITH {_DOCS}, c AS (SELECT DISTINCT id, method, follows FROM m), h0 AS (SELECT DISTINCT id, method, method AS at, 0 AS hops FROM c WHERE regexp_matches(method, '^({'|'.join(A.UNIFIED)})')),
+h1 AS (SELECT DISTINCT h.id, h.method, c.follows AS at, 1 AS hops FROM h0 h JOIN c ON c.id = h.id AND c.method = h.at), h2 AS (SELECT DISTINCT h.id, h.method, c.follows AS at, 2 AS hops FROM h1 h JOIN c ON c.id = h.id AND c.method = h.at),
+h3 AS (SELECT DISTINCT h.id, h.method, c.follows AS at, 3 AS hops FROM h2 h JOIN c ON c.id = h.id AND c.method = h.at),
+best AS (SELECT id, method, 'publicGet' || upper("at"[1]) || lower("at"[2:]) AS called, min(hops) AS hops FROM (SELECT * FROM h0 UNION ALL SELECT * FROM h1 UNION ALL SELECT * FROM h2 UNION ALL SELECT * FROM h3) GROUP BY ALL)
+SELECT method, called, hops, count(*) AS n FROM best GROUP BY ALL""",
+    # Each class has the nodes of the first rows once, and those of the second for each of its methods.
+    "ast_node_types": f"""WITH {_DOCS}, k AS (SELECT count(*) FILTER (len(methods) > 0) AS files, coalesce(sum(len(methods)), 0)::BIGINT AS n FROM docs),
+v AS (SELECT * FROM (VALUES ('Program', 'body', 'ClassDeclaration', 1), ('ClassDeclaration', 'id', 'Identifier', 1), ('ClassDeclaration', 'superClass', 'Identifier', 1), ('ClassDeclaration', 'body', 'ClassBody', 1)) t(p, f, c, x)),
+w AS (SELECT * FROM (VALUES ('ClassBody', 'body', 'MethodDefinition', 1), ('MethodDefinition', 'key', 'Identifier', 1), ('MethodDefinition', 'value', 'FunctionExpression', 1), ('FunctionExpression', 'params', 'Identifier', 1), ('FunctionExpression', 'body', 'BlockStatement', 1),
+  ('BlockStatement', 'body', 'ExpressionStatement', 2), ('BlockStatement', 'body', 'ReturnStatement', 1), ('ExpressionStatement', 'expression', 'CallExpression', 2), ('ReturnStatement', 'argument', 'CallExpression', 1),
+  ('CallExpression', 'callee', 'MemberExpression', 4), ('MemberExpression', 'object', 'ThisExpression', 4), ('MemberExpression', 'property', 'Identifier', 4), ('CallExpression', 'arguments', 'ObjectExpression', 1), ('CallExpression', 'arguments', 'Literal', 1),
+  ('CallExpression', 'arguments', 'CallExpression', 1), ('ObjectExpression', 'properties', 'Property', 1), ('Property', 'key', 'Identifier', 1), ('Property', 'value', 'Literal', 1)) t(p, f, c, x))
+SELECT p AS parent_type, f AS field, c AS type, x * files AS n FROM v, k WHERE files > 0 UNION ALL SELECT p, f, c, x * n FROM w, k WHERE n > 0""",
 }

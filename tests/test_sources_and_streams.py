@@ -24,7 +24,10 @@ def test_reads_are_total(spark, tmp_path):
     back = spark.read.json(str(tmp_path / "out"))
     assert tuple(back.select("id", "tier_scope", "value").first()) == ("a", "all", '{"a":2,"b":1}')
     m = S.manifest(docs.where("id = 'a'"), version="1", at="now").first()
-    assert m["count"] == 1 and m["ids"] == ["a"]
+    assert m["count"] == 1 and [r.id for r in S.manifest_ids(docs.where("id = 'a'")).collect()] == ["a"]
+    twice = docs.where("status = 'ok'").unionByName(docs.where("status = 'ok'").withColumn("id", F.lit("z")))
+    hashes = [S.manifest(x, version="1", at="now").first()["content_hash"] for x in (twice, twice.repartition(5, "id"), twice.where("id = 'a'"))]
+    assert hashes[0] == hashes[1] != hashes[2] == m["content_hash"]
     _, integrity = S.load_datasets(spark, str(tmp_path), ["describe"], spark.createDataFrame([("a",), ("x",), ("bad",)], "id string"))
     assert {(r.id, r.status) for r in integrity.collect()} == {("a", "ok"), ("x", "missing"), ("bad", "corrupt")}
 
