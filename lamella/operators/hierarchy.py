@@ -382,6 +382,127 @@ def taken_down(linked: DataFrame, values: DataFrame, kind: str) -> DataFrame:
     return roots.unionByName(solved.select("tree_no", F.col("id").alias("node_key"), "depth", "cyclic", F.when(~F.col("cyclic"), F.col("prefix")).alias("above")))
 
 
+_TOTALS = "tree_no long, id string, size long, tall long, tag int"
+_SUMMED = "answer boolean, tree_no long, id string, parent string, top string, w long, size long, tall long, part int"
+
+
+class _Sums:
+    """Sizes and heights inside one group of (tree_no, id, parent, w, size, tall) records, children before parents."""
+
+    def __init__(self, g: pd.DataFrame):
+        self.tree, self.id, self.parent = g["tree_no"].to_numpy(), g["id"].to_numpy(object), g["parent"].to_numpy(object)
+        self.w, self.size, self.tall = (g[c].to_numpy(np.int64).copy() for c in ("w", "size", "tall"))
+        n = self.n = len(g)
+        self.trees = np.unique(self.tree)
+        self.index = pd.Index(self.named(self.tree, self.id))
+        up = self.index.get_indexer(self.named(self.tree, self.parent))
+        self.up = np.where(up < 0, n, up).astype(np.int64)
+        # Steps and distance to the top of the fragment, by doubling.
+        top = np.where(self.up < n, self.up, np.arange(n))
+        step, far = (self.up < n).astype(np.int64), np.where(self.up < n, self.w, 0)
+        for _ in range(max(1, n.bit_length()) + 1):
+            step, far, top = step + step[top], far + far[top], top[top]
+        self.top, self.step, self.far = top, step, far
+
+    def named(self, tree: np.ndarray, key: np.ndarray) -> np.ndarray | list:
+        return key if len(self.trees) == 1 else [f"{t}/{k}" for t, k in zip(tree.tolist(), key.tolist())]
+
+    def find(self, g: pd.DataFrame) -> np.ndarray:
+        g = g[g["tree_no"].isin(self.trees)]
+        return self.index.get_indexer(self.named(g["tree_no"].to_numpy(), g["id"].to_numpy(object))) if len(g) else np.array([], int)
+
+    def sum(self) -> None:
+        order = np.argsort(-self.step, kind="stable")
+        levels = self.step[order]
+        for block in np.split(order, np.flatnonzero(np.diff(levels)) + 1) if self.n else ():
+            inner = block[self.up[block] < self.n]
+            np.add.at(self.size, self.up[inner], self.size[inner])
+            np.maximum.at(self.tall, self.up[inner], self.tall[inner] + self.w[inner])
+
+
+def _sum_contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Fragments of each range with their size and height, and for records asked for from elsewhere the way to their top."""
+    columns = [c.split()[0] for c in _SUMMED.split(", ")]
+    for g in _groups(batches, "part"):
+        x, part = _Sums(g[g["kind"] == 0]), int(g["part"].iloc[0])
+        asked = x.find(g[g["kind"] == 1])
+        x.sum()
+        tops = np.flatnonzero(x.up == x.n)
+        asked = asked[asked >= 0]
+        none = lambda k: np.full(k, None, object)
+        yield pd.DataFrame(dict(zip(columns, (False, x.tree[tops], x.id[tops], x.parent[tops], none(len(tops)), x.w[tops], x.size[tops], x.tall[tops], part))), columns=columns)
+        yield pd.DataFrame(dict(zip(columns, (True, x.tree[asked], x.id[asked], none(len(asked)), x.id[x.top[asked]], x.far[asked], 0, 0, part))), columns=columns)
+
+
+def _sum_expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Totals of all records: their own, and in ``kind`` 2 what fragments of other ranges add to a record."""
+    for g in _groups(batches, "part"):
+        x, more = _Sums(g[g["kind"] == 0]), g[g["kind"] == 2]
+        at = x.find(more)
+        more = more[more["tree_no"].isin(x.trees)][at >= 0]
+        at = at[at >= 0]
+        np.add.at(x.size, at, more["size"].to_numpy(np.int64))
+        np.maximum.at(x.tall, at, more["tall"].to_numpy(np.int64))
+        x.sum()
+        tags = g.loc[g["kind"] == 0, "tag"].to_numpy()
+        yield pd.DataFrame({"tree_no": x.tree, "id": x.id, "size": x.size, "tall": x.tall, "tag": tags})
+
+
+def _totals(records: DataFrame, n: int, level: int = 0) -> DataFrame:
+    """Sizes and heights of (tree_no, id, parent, w, size, tall, tag) records of an acyclic forest; a record's edge to its parent is ``w`` long."""
+    if level and n <= RECORDS_PER_TASK:
+        return records.withColumns({"part": F.lit(0), "kind": F.lit(0)}).coalesce(1).mapInPandas(_sum_expand, _TOTALS)
+    width = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(n, width), math.ceil(n / RECORDS_PER_TASK))
+    placed = durable(records.repartitionByRange(parts, "tree_no", "id").withColumn("part", F.spark_partition_id()))
+    target = placed.select("tree_no", F.col("id").alias("parent"), F.col("part").alias("to"))
+    own = durable(placed.join(target, ["tree_no", "parent"], "left").withColumn("kind", F.lit(0)))
+    asked = own.where("part <> to").select("tree_no", F.col("parent").alias("id"), F.col("to").alias("part")).distinct().withColumn("kind", F.lit(1))
+    split = durable(_laid_out(own.drop("to").unionByName(asked, allowMissingColumns=True), parts).mapInPandas(_sum_contract, _SUMMED))
+    ways = split.where("answer").select("tree_no", F.col("id").alias("parent"), "top", F.col("w").alias("aw"), F.col("part").alias("to"))
+    tops = durable(split.where("not answer").select("tree_no", "id", "parent", "w", "size", "tall", "part").join(ways, ["tree_no", "parent"], "left"))
+    rest = tops.select("tree_no", "id", F.col("top").alias("parent"), (F.col("w") + F.coalesce("aw", F.lit(0))).alias("w"), "size", "tall", F.col("part").alias("tag"))
+    rest = durable(rest)
+    left = rest.count()
+    below = _by_joins(rest) if left > POOR * n and left > RECORDS_PER_TASK else _totals(rest, left, level + 1)
+    sums = below.select("tree_no", "id", F.col("size").alias("__size"), F.col("tall").alias("__tall"))
+    added = tops.where("to is not null").join(sums, ["tree_no", "id"]).groupBy("tree_no", "parent", "to").agg(
+        F.sum("__size").alias("size"), F.max(F.col("__tall") + F.col("w")).alias("tall")
+    ).select("tree_no", F.col("parent").alias("id"), F.col("to").alias("part"), "size", "tall", F.lit(2).alias("kind"))
+    return _laid_out(own.drop("to").unionByName(added, allowMissingColumns=True), parts).mapInPandas(_sum_expand, _TOTALS)
+
+
+def _by_joins(records: DataFrame) -> DataFrame:
+    """The same without ranges, for forests whose keys say nothing of the tree: leaves are merged into their parents, a level a round."""
+    todo, done = records, None
+    while True:
+        inner = todo.select("tree_no", F.col("parent").alias("id")).where("id is not null").distinct()
+        leaves = durable(todo.join(inner, ["tree_no", "id"], "left_anti"))
+        done = leaves if done is None else durable(done.unionByName(leaves))
+        add = leaves.where("parent is not null").groupBy("tree_no", F.col("parent").alias("id")).agg(F.sum("size").alias("__s"), F.max(F.col("tall") + F.col("w")).alias("__t"))
+        todo = durable(todo.join(inner, ["tree_no", "id"], "left_semi").join(add, ["tree_no", "id"], "left").select(
+            "tree_no", "id", "parent", "w", (F.col("size") + F.coalesce("__s", F.lit(0))).alias("size"), F.greatest("tall", F.coalesce("__t", F.lit(0))).alias("tall"), "tag",
+        ))
+        if todo.isEmpty():
+            return done.select("tree_no", "id", "size", "tall", "tag")
+
+
+def descendant_counts(nodes: DataFrame) -> DataFrame:
+    """Descendants, children and height of each acyclic node that has any: (tree_no, node_key, descendants, children, height).
+
+    Sizes and heights go up the same contraction as paths go down; pairs are never made.
+    """
+    linked = linked_nodes(nodes)
+    acyclic = durable(taken_down(linked, linked.select("tree_no", "node_key", F.lit(None).cast("string").alias("value")).limit(0), "nearest").where("not cyclic").select("tree_no", "node_key"))
+    kept = linked.join(acyclic, ["tree_no", "node_key"], "left_semi").select(
+        "tree_no", F.col("node_key").alias("id"), F.when(F.col("has"), F.col("parent")).alias("parent"), F.lit(1).cast("long").alias("w"), F.lit(1).cast("long").alias("size"), F.lit(0).cast("long").alias("tall"), F.lit(0).alias("tag"),
+    )
+    kept = durable(kept)
+    children = kept.where("parent is not null").groupBy("tree_no", F.col("parent").alias("id")).agg(F.count("*").alias("children"))
+    out = _totals(kept, kept.count()).where("size > 1").join(children, ["tree_no", "id"])
+    return out.select("tree_no", F.col("id").alias("node_key"), (F.col("size") - 1).alias("descendants"), "children", F.col("tall").alias("height"))
+
+
 #: Separator that joins keys where a path is taken apart again; no key may contain it.
 UNSEEN = "\u0000"
 

@@ -23,10 +23,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_descendants(spark: SparkSession, d: str) -> DataFrame:
     """Descendants of each node that has any: how many, and how far down."""
-    pairs = H.descendants(class_nodes(spark, d))
-    return pairs.groupBy("tree_no", F.col("ancestor").alias("node_key")).agg(
-        F.count("*").alias("descendants"), F.count(F.when(F.col("distance") == 1, 1)).alias("children"), F.max("distance").alias("height")
-    )
+    return H.descendant_counts(class_nodes(spark, d))
 
 
 def p5_pairs(spark: SparkSession, d: str) -> DataFrame:

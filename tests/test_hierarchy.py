@@ -93,3 +93,19 @@ def test_values_taken_down_against_brute_force(spark, monkeypatch, size):
     nodes = spark.createDataFrame(sorted(parent.items()), "node string, parent string")
     values = spark.createDataFrame(sorted(held.items()), "node string, value int")
     assert {r.node: (r.value, r.origin, r.distance) for r in R.nearest_value(nodes, values, F.lit(-1)).collect()} == want
+
+
+@pytest.mark.parametrize("size, poor", [(10_000, 0.7), (30, 0.7), (20, -1.0)])
+def test_descendant_counts(spark, monkeypatch, size, poor):
+    monkeypatch.setattr(H, "RECORDS_PER_TASK", size)
+    monkeypatch.setattr(H, "POOR", poor)
+    rnd = random.Random(size)
+    edges = [(rnd.choice([0, 0, 4]), f"k{i:03d}", f"k{rnd.randrange(max(1, i)):03d}" if rnd.random() < 0.9 else None, 1) for i in range(200)]
+    edges += [(5, f"c{i}", f"c{(i + 1) % 6}", 1) for i in range(6)] + [(5, "below", "c0", 1), (6, "one", None, 1)] + [(7, f"e{i:03d}", f"e{i - 1:03d}" if i else None, 1) for i in range(90)]
+    df = spark.createDataFrame([(*e, 1) for e in edges], "tree_no long, node_key string, parent_key string, at int, part int")
+    got = {(r.tree_no, r.node_key): (r.descendants, r.children, r.height) for r in H.descendant_counts(df).collect()}
+    want = {}
+    for r in H.descendants(df).collect():
+        n, c, h = want.get((r.tree_no, r.ancestor), (0, 0, 0))
+        want[r.tree_no, r.ancestor] = (n + 1, c + (r.distance == 1), max(h, r.distance))
+    assert got == want and H.descendant_counts(df.limit(0)).collect() == []
