@@ -39,9 +39,7 @@ CHANCE = 0.01
 _UNSPACED = "぀-ヿ㐀-鿿豈-﫿ｦ-ﾟ"
 _ENDS = ".!?。！？…"
 _CLOSERS = "\"'”’»)]}*_`"
-_MARK = re.compile(
-    r"(?:\s*(?:\.{3,}|…|\[(?:truncated|cut|more|\.{3}|…)\]|\((?:truncated|continued|more)\)))\s*\Z|�+\s*\Z", re.IGNORECASE
-)
+_MARKS = ("[truncated]", "[cut]", "[more]", "[...]", "[…]", "(truncated)", "(continued)", "(more)")
 _PUNCTUATION = "、。，！？…」』）：；"
 _LETTER = re.compile(f"[{_UNSPACED}]")
 _TOKEN = re.compile(f"[{_UNSPACED}][{_PUNCTUATION}]*|[^\\s{_UNSPACED}]+")
@@ -67,6 +65,22 @@ class _Forms(dict):
         return form
 
 
+def cut_mark(text: str) -> int | None:
+    """Where the mark begins that a text ends with, spaces before it included; null without one.
+
+    Three or more dots, an ellipsis, a word in brackets in any case, or characters that broke.
+    """
+    bare = text.rstrip()
+    if bare.endswith("�"):
+        return len(bare.rstrip("�"))
+    if bare.endswith("…"):
+        return len(bare[:-1].rstrip())
+    if bare.endswith("..."):
+        return len(bare.rstrip(".").rstrip())
+    tail = bare[-max(map(len, _MARKS)) :].lower()
+    return next((len(bare[: -len(m)].rstrip()) for m in _MARKS if tail.endswith(m)), None)
+
+
 def _terminated(text: str) -> bool:
     bare = text.rstrip().rstrip(_CLOSERS)
     return bool(bare) and bare[-1] in _ENDS
@@ -102,31 +116,32 @@ def _take_apart(rows: list[tuple[int, int, str]], forms: _Forms) -> pa.RecordBat
     sentences: list[str] = []
     openers: list[tuple] = []
     for h1, h2, text in rows:
-        mark = _MARK.search(text)
-        bare = text[: mark.start()] if mark else text
+        mark = cut_mark(text)
+        bare = text if mark is None else text[:mark]
         lines = [line for line in bare.split("\n") if line and not line.isspace()]
         open_ = bool(lines) and not _terminated(bare)
         trail = (None,) * 6
+        words = str.split if bare.isascii() else _words
         for nr, line in enumerate(lines, 1):
-            both = [forms[w] for w in _words(line)]
-            ctx, nxt = [f for f, _ in both], [f for _, f in both]
+            ctx, nxt = map(list, zip(*[forms[w] for w in words(line)]))
             last = nr == len(lines)
             nxt[-1] = nxt[-1][:-1] + (OPEN if last and open_ else ENDS)
             first = line[: len(line) - len(line.lstrip())] + (ctx[0] if ctx[0] != START else nxt[0])
             second = (ctx[1] if ctx[1] != START else nxt[1]) if len(ctx) > 1 else ""
             openers.append((first, second, last))
-            begin = 0
-            for i, f in enumerate(nxt):
-                if f[-1] != GOES_ON:
-                    sentences.append(" ".join([*ctx[begin:i], f]))
-                    begin = i + 1
+            begin, end = 0, len(ctx) - 1
+            for _ in range(ctx.count(START) - (ctx[end] == START)):
+                i = ctx.index(START, begin)
+                sentences.append(" ".join([*ctx[begin:i], nxt[i]]))
+                begin = i + 1
+            sentences.append(" ".join([*ctx[begin:end], nxt[end]]))
             context += (START, START)
             context += ctx
             follows += ("", "")
             follows += nxt
             if last and open_:
                 trail = (context[-3], context[-2], nxt[-1][:-1], sentences[-1][:-1], first, second)
-        out.append(("text", *trail, None, h1, h2, len(bare), mark is not None, text.rstrip().endswith("�"), open_structure(bare)))
+        out.append(("text", *trail, None, h1, h2, len(bare), mark is not None, text.rstrip().endswith("�"), open_ and open_structure(bare)))
     blank = (None,) * 6
     windows = Counter(zip(context, context[1:], follows[2:]))
     out += [("words", a, b, c, None, None, None, n, *blank) for (a, b, c), n in windows.items() if c]
@@ -383,19 +398,24 @@ def longer_copies(rows: DataFrame, ends: DataFrame) -> DataFrame:
     """(h1, h2) of the (h1, h2, n_bare) texts in ``ends`` that are strict prefixes of other texts of ``rows`` (h1, h2, text).
 
     Texts meet by the hash of as many of their first characters as the greatest power of
-    two that the shorter one has; only those that meet are sorted in full.
+    two that the shorter one has; only those that meet are moved and sorted in full.
     """
-    asked = durable(ends.withColumn("k", F.floor(F.log2("n_bare")).cast("int")))
-    powers = [r[0] for r in asked.select("k").distinct().collect()]  # one number for each power of two
+    power = F.floor(F.log2("n_bare")).cast("int")
+    asked = durable(ends.withColumn("k", power))
+    powers = sorted(r[0] for r in asked.select("k").distinct().collect())  # one number for each power of two
     if not powers:
         return ends.select("h1", "h2")
     start = lambda k: F.xxhash64(F.lit(k), F.substring("text", 1, 2**k))
-    by_power = [F.when(F.length("text") >= 2**k, F.struct(F.lit(k).alias("k"), start(k).alias("start"))) for k in sorted(powers)]
-    distinct = rows.select("h1", "h2", F.explode(F.array_compact(F.array(*by_power))).alias("s")).select("h1", "h2", "s.*")
-    keys = distinct.join(broadcast_if_small(asked.select("h1", "h2", "k")), ["h1", "h2", "k"], "left_semi").select("k", "start").distinct()
-    keys = durable(keys)
-    met = durable(distinct.join(broadcast_if_small(keys), ["k", "start"], "left_semi").select("h1", "h2").distinct())
-    texts = rows.join(broadcast_if_small(met), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.any_value("text").alias("text"))
+    own = F.when(F.lit(False), F.lit(None).cast("long"))
+    for k in powers:
+        own = own.when(F.col("k") == k, start(k))
+    keys = durable(rows.join(broadcast_if_small(asked.select("h1", "h2", "k")), ["h1", "h2"]).select("k", own.alias("start"), start(powers[0]).alias("least")).distinct())
+    # What shares more shares the shortest beginning too, so most texts go after one look.
+    near = rows.withColumn("least", start(powers[0])).join(broadcast_if_small(keys.select("least").distinct()), "least", "left_semi")
+    by_power = [F.when(F.length("text") >= 2**k, F.struct(F.lit(k).alias("k"), start(k).alias("start"))) for k in powers]
+    met = near.select("h1", "h2", "text", F.explode(F.array_compact(F.array(*by_power))).alias("s")).select("h1", "h2", "text", "s.*")
+    met = met.join(broadcast_if_small(keys.select("k", "start").distinct()), ["k", "start"], "left_semi")
+    texts = met.groupBy("h1", "h2").agg(F.any_value("text").alias("text"))
     bare = texts.join(broadcast_if_small(asked.select("h1", "h2", "n_bare")), ["h1", "h2"], "left")
     values = bare.select("h1", "h2", F.expr("substring(text, 1, coalesce(n_bare, length(text)))").cast("string").alias("value"))
     return strict_prefixes(values).join(asked.select("h1", "h2"), ["h1", "h2"], "left_semi")
@@ -458,6 +478,7 @@ def truncated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", so
     hashed = rows.withColumns(_hashed(F.col("text")))
     parts = durable(take_texts_apart(hashed.groupBy("h1", "h2").agg(F.any_value("text").alias("text"))))
     ends = parts.where("kind = 'text'")
+    small = durable(hashed.select("doc_id", "source", "h1", "h2", F.length("text").alias("chars"), F.octet_length("text").alias("bytes")))
     certain = ends.where("broken").select("h1", "h2")
     judged = durable(judged_trails(parts))
     unfinished = judged.where("cut").select("h1", "h2")
@@ -468,7 +489,7 @@ def truncated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", so
     left_open = untold.where("structure").select("h1", "h2")
 
     # Limits of the sources.
-    keyed = hashed.groupBy("source", "h1", "h2").agg(F.any_value(F.length("text")).alias("chars"), F.any_value(F.octet_length("text")).alias("bytes"))
+    keyed = small.groupBy("source", "h1", "h2").agg(F.any_value("chars").alias("chars"), F.any_value("bytes").alias("bytes"))
     keyed = durable(keyed)
     spikes, rules = field_limits(keyed)
     spikes, rules = broadcast_if_small(durable(spikes)), broadcast_if_small(durable(rules))
@@ -481,7 +502,7 @@ def truncated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", so
     limits = at.where("(why = 'full' and (not longer or marked or open)) or (why = 'block' and open and not (longer and marked))").select("h1", "h2")
 
     cut = certain.unionByName(unfinished).unionByName(copies).unionByName(left_open).unionByName(limits)
-    return hashed.select("doc_id", "h1", "h2").join(broadcast_if_small(durable(cut.distinct())), ["h1", "h2"], "left_semi").select("doc_id")
+    return small.select("doc_id", "h1", "h2").join(broadcast_if_small(durable(cut.distinct())), ["h1", "h2"], "left_semi").select("doc_id")
 
 
 def truncation_report(docs: DataFrame, found: DataFrame) -> DataFrame:
