@@ -34,9 +34,10 @@ def test_profile_keeps_ranges_of_maps(spark, tmp_path):
         market(3),
     ]
     d = write(spark, tmp_path, load_markets=(rows, MARKETS))
-    full = {r.column_name: (r.least, r.greatest) for r in run(spark, "p3_profile_full", d).collect()}
-    assert full["precisions"] == ('[{"key":"amount","value":"x"},{"key":"price","value":"10"}]', '[{"key":"amount","value":null},{"key":"price","value":"9"}]')
-    assert None not in full["limits"]
+    full = {r.column_name: (r.n_rows, r.n_null, r.n_distinct, r.least, r.least_number, r.greatest_number) for r in run(spark, "p3_profile", d).collect()}
+    assert full["precisions"] == (3, 1, 2, None, None, None) and full["limits"] == (3, 1, 2, None, None, None) and full["base"] == (3, 0, 1, "A", None, None)
+    assert full["precisions.price"] == (2, 0, None, None, 9.0, 10.0) and full["precisions.amount"] == (2, 2, None, None, None, None)
+    assert full["limits.cost.min"] == (2, 0, None, None, -2.0, 1.0)
     got = {r.feature: (r.n, r.n_other, r.least, r.greatest) for r in run(spark, "p3_ranges", d).collect()}
     assert got == {
         "precisions.price": (2, 0, 9.0, 10.0), "precisions.amount": (0, 2, None, None),
@@ -54,7 +55,7 @@ def test_calls_to_earlier_names_and_cycles(spark, tmp_path):
     ring = "edcba"
     want = {(ring[i], ring[(i + k) % 5], k) for i in range(5) for k in range(5)}
     assert {(r.start, r.node, r.hops) for r in run(spark, "call_fixpoint", d).collect()} == want
-    assert {(r.start, r.node, r.hops) for r in run(spark, "call_reach_depth", d).collect()} == {w for w in want if w[2] <= 3}
+    assert {(r.start, r.node, r.hops) for r in run(spark, "call_reach", d).collect()} == {w for w in want if w[2] <= 3}
 
 
 FIXTURES = "fixture_no long, exchange string, ccxt_version string, cases array<struct<name:string>>, skipped array<struct<name:string,reason:string>>"
@@ -79,7 +80,7 @@ def test_orphans_are_those_of_the_tables(spark, tmp_path):
         spark, tmp_path, lineitem=([(11,), (22,), (22,), (3,)], "l_orderkey long"), orders=([(11, 13), (22, 13), (4, 99)], "o_orderkey long, o_custkey long"),
         customer=([(13,)], "c_custkey long"),
     )
-    assert {(r.rule, r.n) for r in run(spark, "order_orphans", d).collect()} == {("line_has_order", 1), ("order_has_customer", 1)}
+    assert {(r.rule, r.n) for r in run(spark, "order_invariants", d).collect()} == {("line_has_order", 1), ("order_has_customer", 1)}
 
 
 OUTPUTS = "record_no long, exchange string, ccxt_version string, endpoints string, auth string, websocket string"
@@ -91,9 +92,9 @@ def test_outputs_as_delivered(spark, tmp_path):
         (10, None, "v", "{}", None, "3"), (14, None, "v", "{}", None, "4"), (20, "y", None, '{"b": 1, "a": [1.50, null]}', "{", ""),
     ]
     d = write(spark, tmp_path, exchange_output=(rows, OUTPUTS))
-    got = {r.record_no: r.status for r in run(spark, "output_determinism", d).collect()}
+    got = {r.record_no: r.status for r in run(spark, "determinism", d).collect()}
     assert got == {1: "equal", 3: "diverged", 7: "missing_second", 8: "missing_second", 10: "diverged", 14: "missing_second", 20: "missing_second"}
-    assert run(spark, "output_round_trip", d).collect() == []
+    assert run(spark, "round_trip", d).collect() == []
 
 
 def test_planted_faults_of_a_round_trip(spark):
@@ -118,9 +119,9 @@ def test_changes_between_all_loads(spark, tmp_path):
         spark, tmp_path, load_markets=(rows, MARKETS), ccxt_release=RELEASES,
         load_manifest=(loads, "exchange string, ccxt_version string, status string, finished_at timestamp_ntz"),
     )
-    got = {(r.exchange, r.ccxt_version): (r.left_n, r.right_n, r.removed, r.added) for r in run(spark, "market_load_changes", d).collect()}
+    got = {(r.exchange, r.ccxt_version): (r.left_n, r.right_n, r.removed, r.added) for r in run(spark, "market_spot_check", d).collect()}
     assert got == {("x", "4.7.10"): (2, 3, 1, 2), ("x", "4.9.0"): (3, 2, 2, 1)}
-    flipped = {(r.ccxt_version, r.symbol, r.path) for r in run(spark, "load_drift_flipped", d).collect()}
+    flipped = {(r.ccxt_version, r.symbol, r.path) for r in run(spark, "drift_flipped", d).collect()}
     assert flipped == {(v, s, p) for v in ("4.7.10", "4.9.0") for s in "BC" for p in ("/quote", "/market_type")}
-    assert {(r.ccxt_version, r.symbol, r.source) for r in run(spark, "load_drift_stale", d).collect()} == {(v, s, p) for v, s in (("4.7.10", "C"), ("4.9.0", "B")) for p in ("/base", "/market_type")}
-    assert {(r.ccxt_version, r.symbol) for r in run(spark, "load_drift_new", d).where("path = '/base'").collect()} == {("4.7.10", "C"), ("4.9.0", "B")}
+    assert {(r.ccxt_version, r.symbol, r.source) for r in run(spark, "drift_stale", d).collect()} == {(v, s, p) for v, s in (("4.7.10", "C"), ("4.9.0", "B")) for p in ("/base", "/market_type")}
+    assert {(r.ccxt_version, r.symbol) for r in run(spark, "drift_new", d).where("path = '/base'").collect()} == {("4.7.10", "C"), ("4.9.0", "B")}
