@@ -17,8 +17,8 @@ one value that is taken down a path. Contracting replaces chains by longer segme
 The smaller forest's last level, of at most ``RECORDS_PER_TASK`` records, is solved in one
 task. Where ranges contract too little, a level of coin contraction by joins takes the
 place: records whose coin is 1 and whose parent's coin is 0 are bypassed, a quarter
-of them on average whatever the keys look like. Each level is written before the
-next begins.
+of them on average whatever the keys look like. Coins are thrown anew on every level, for
+the same ones would leave the same records. Each level is written before the next begins.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ from lamella.plans.runtime import durable
 RECORDS_PER_TASK = 200_000
 #: A level of ranges that leaves more than this share is followed by coin contraction.
 POOR = 0.7
+#: A level of coin contraction that leaves at most this share is followed by another.
+POOR_COIN = 0.85
 #: Characters of paths in one output batch.
 BATCH_CHARS = 4_000_000
 
@@ -242,7 +244,7 @@ def _laid_out(rows: DataFrame, parts: int) -> DataFrame:
     return rows.repartition(parts, "part").sortWithinPartitions("part", "kind")
 
 
-def _by_ranges(records: DataFrame, n: int, fold: Fold) -> DataFrame:
+def _by_ranges(records: DataFrame, n: int, level: int, fold: Fold) -> DataFrame:
     """Records are laid out in ranges of their keys, contracted there, and extended again."""
     width = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(n, width), math.ceil(n / RECORDS_PER_TASK))
@@ -277,7 +279,7 @@ def _by_ranges(records: DataFrame, n: int, fold: Fold) -> DataFrame:
     )
     rest = durable(rest)
     left = rest.count()
-    below = solve(rest, fold, left, coin=left > POOR * n, level=1)
+    below = solve(rest, fold, left, coin=left > POOR * n, level=level + 1)
     known = solved.unionByName(below).withColumnRenamed("tag", "part").withColumn("kind", F.lit(2))
     both = own.drop("to").unionByName(known, allowMissingColumns=True)
     return _laid_out(both, parts).mapInPandas(_solve_group(fold), SOLUTION)
@@ -300,7 +302,8 @@ def _by_coin(records: DataFrame, n: int, level: int, fold: Fold) -> DataFrame:
     )
     kept = durable(kept)
     left = kept.count()
-    done = durable(solve(kept, fold, left, level=level + 1))
+    # Coins leave cycles of one record, which ranges take out.
+    done = durable(solve(kept, fold, left, coin=left <= POOR_COIN * n, level=level + 1))
     over = done.select("tree_no", F.col("id").alias("parent"), F.col("root").alias("proot"), F.col("depth").alias("pdepth"), F.col("prefix").alias("pprefix"), "cyclic")
     acyclic = ~F.coalesce(F.col("cyclic"), F.lit(False))
     prefix = F.concat(F.coalesce("pprefix", F.lit("")), fold.prefix(F.col("seg"))) if fold.kind == "path" else fold.joined(F.col("pprefix"), F.col("seg"))
@@ -320,7 +323,7 @@ def solve(records: DataFrame, fold: Fold, n: int, *, coin: bool = False, level:
             "part": F.lit(0), "kind": F.lit(0), "root": known.cast("string"), "depth": known.cast("long"), "prefix": known.cast("string"), "cyclic": known.cast("boolean"),
         })
         return one.coalesce(1).mapInPandas(_solve_group(fold), SOLUTION)
-    return _by_coin(records, n, level, fold) if coin else _by_ranges(records, n, fold)
+    return _by_coin(records, n, level, fold) if coin else _by_ranges(records, n, level, fold)
 
 
 def linked_nodes(nodes: DataFrame) -> DataFrame:

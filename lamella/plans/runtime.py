@@ -56,10 +56,14 @@ def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from the written copy.
 
     Cuts the lineage, so that a lost executor costs one read of the copy and not
-    the work that led to it.
+    the work that led to it. A checkpoint keeps the estimated size of its plan, which for a join
+    is the product of both sides: over the levels of a contraction the number alone outgrows the
+    driver. So the copy is of unknown size to the planner, and nothing is broadcast before it was measured.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    written = df.checkpoint(eager=True)._jdf
+    unsized = written.sparkSession().internalCreateDataFrame(written.queryExecution().toRdd(), written.schema(), False)
+    return type(df)(unsized, df.sparkSession)
 
 
 def measured_bytes(df: DataFrame) -> int:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import lamella.operators.hierarchy as H
+from lamella.plans.runtime import durable
 
 SCHEMA = "tree_no long, node_key string, parent_key string, at int, part int, kind int"
 
@@ -109,3 +110,30 @@ def test_descendant_counts(spark, monkeypatch, size, poor):
         n, c, h = want.get((r.tree_no, r.ancestor), (0, 0, 0))
         want[r.tree_no, r.ancestor] = (n + 1, c + (r.distance == 1), max(h, r.distance))
     assert got == want and H.descendant_counts(df.limit(0)).collect() == []
+
+
+def test_every_level_leaves_fewer_records(spark, monkeypatch):
+    """Keys unrelated to the tree, far more records than a task takes: coins of one level must not be those of the last."""
+    monkeypatch.setattr(H, "RECORDS_PER_TASK", 12)
+    sizes, solve = [], H.solve
+
+    def counted(records, fold, n, **kw):
+        sizes.append(n)
+        assert len(sizes) < 30, sizes
+        return solve(records, fold, n, **kw)
+
+    monkeypatch.setattr(H, "solve", counted)
+    rng = random.Random(5)
+    keys = [f"{rng.getrandbits(40):010x}" for _ in range(120)]
+    edges = [(0, k, keys[rng.randrange(i)] if i > 4 else None, 1) for i, k in enumerate(keys)] + [(0, "s", "s", 1), (0, "t", "s", 1), (0, "0t", "t", 1)]
+    assert run(spark, edges) == brute(edges)
+    assert sizes[-1] <= 12
+
+
+def test_written_results_have_no_growing_estimate(spark):
+    """The estimate of a join is the product of its sides; kept from copy to copy its digits would double with each."""
+    df = spark.range(3).select("id", F.lit(1).alias("v"))
+    for _ in range(4):
+        df = durable(df.join(df.select("id", F.col("v").alias("w")), "id", "left").select("id", F.col("v").alias("v")))
+    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() <= 64
+    assert sorted(map(tuple, df.collect())) == [(0, 1), (1, 1), (2, 1)]
