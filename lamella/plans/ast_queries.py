@@ -56,14 +56,11 @@ def ast_request_defaults(spark, d):
 
 
 def ast_interface_calls(spark, d):
-    calls = A.derive(class_documents(spark, d), "calls").where("status = 'ok'").select("id", "method", "called", "kind")
-    return A.interface_calls(calls).groupBy("method", "called", "hops").agg(F.count("*").alias("n"))
+    return A.derive(class_documents(spark, d), "interface_reach").where("status = 'ok'").groupBy("method", "called", "hops").agg(F.count("*").alias("n"))
 
 
 def ast_node_types(spark, d):
-    n = A.ast_nodes(class_documents(spark, d))
-    p = n.select("id", F.col("node").alias("parent"), F.col("type").alias("parent_type"))
-    return n.join(p, ["id", "parent"]).groupBy("parent_type", "field", "type").agg(F.count("*").alias("n"))
+    return A.edge_types(class_documents(spark, d))
 
 
 QUERIES = {f.__name__: f for f in (ast_inventory, ast_parse_calls, ast_pagination, ast_request_defaults, ast_interface_calls, ast_node_types)}

@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from lamella.operators import ast as A
 
 ID = lambda n: {"type": "Identifier", "name": n}
@@ -76,3 +78,24 @@ def test_rows(spark):
     assert nodes.where("parent is null").count() == 1 and nodes.where("type = 'CallExpression'").count() == 2
     for name in A.DERIVATIONS:
         assert A.derive(df, name).count() >= 2
+
+
+def test_node_types_and_reach_move_no_nodes(spark):
+    """Both read a file's own nodes only: no join, so no side that could be taken for small and sent to the driver."""
+    from lamella.plans import ast_queries as Q
+
+    for query in (Q.ast_node_types, Q.ast_interface_calls):
+        assert "Join" not in query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    p = program(
+        fetchA=[EXPR(CALL("one")), EXPR(CALL("publicGetX"))], one=[EXPR(CALL("two"))], two=[EXPR(CALL("three")), EXPR(CALL("publicGetX"))], three=[EXPR(CALL("four")), EXPR(CALL("privatePostY")), EXPR(CALL("fetchA"))],
+        four=[EXPR(CALL("publicGetZ"))],
+    )
+    df = spark.createDataFrame([("a", json.dumps(p)), ("b", "{"), ("c", None), ("d", "[]"), ("e", json.dumps(p))], "id string, ast string")
+    reach = A.derive(df, "interface_reach").where("status = 'ok'").drop("status")
+    assert {tuple(r) for r in reach.select("id", "method", "called", "hops").collect()} == {(i, "fetchA", c, h) for i in "ae" for c, h in (("publicGetX", 0), ("privatePostY", 3))}
+    by_joins = A.interface_calls(A.derive(df, "calls").where("status = 'ok'"))
+    assert {tuple(r) for r in by_joins.collect()} == {tuple(r) for r in reach.select("id", "method", "called", "hops").collect()}
+    n = A.ast_nodes(df)
+    above = n.select("id", F.col("node").alias("parent"), F.col("type").alias("parent_type"))
+    joined = n.join(above, ["id", "parent"]).groupBy("parent_type", "field", "type").agg(F.count("*").alias("n"))
+    assert {tuple(r) for r in A.edge_types(df).collect()} == {tuple(r) for r in joined.collect()}
