@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamella.plans.runtime import durable
+from lamella.plans.runtime import durable, release, settled
 
 #: Records that one task follows in memory.
 RECORDS_PER_TASK = 200_000
@@ -251,12 +251,14 @@ def _by_ranges(records: DataFrame, n: int, level: int, fold: Fold) -> DataFrame:
     placed = durable(records.repartitionByRange(parts, "tree_no", "id").withColumn("part", F.spark_partition_id()))
     target = placed.select("tree_no", F.col("id").alias("parent"), F.col("part").alias("to"))
     own = durable(placed.join(target, ["tree_no", "parent"], "left").withColumn("kind", F.lit(0)))
+    release(placed)
     asked = own.where("part <> to").select("tree_no", F.col("parent").alias("id"), F.col("to").alias("part")).distinct().withColumn("kind", F.lit(1))
     work = own.drop("to").unionByName(asked, allowMissingColumns=True)
     split = durable(_laid_out(work, parts).mapInPandas(_contract_group(fold), _CONTRACTED))
     answers = split.where("answer").select("tree_no", F.col("id").alias("parent"), "top", F.col("w").alias("aw"), F.col("seg").alias("aseg"), F.col("low").alias("alow"), "cycle", "answer")
     exits = split.where("not answer").select("tree_no", "id", "parent", "w", "seg", "low", "part").join(answers, ["tree_no", "parent"], "left")
     exits = durable(exits)
+    release(split)
     further = exits.where("answer and cycle is null")
     tops = further.select("tree_no", F.col("top").alias("id")).distinct().withColumn("needed", F.lit(True))
     ended = durable(exits.where("answer is null or cycle is not null").join(tops, ["tree_no", "id"], "left"))
@@ -278,8 +280,11 @@ def _by_ranges(records: DataFrame, n: int, level: int, fold: Fold) -> DataFrame:
         )
     )
     rest = durable(rest)
+    release(exits)
     left = rest.count()
     below = solve(rest, fold, left, coin=left > POOR * n, level=level + 1)
+    if left > RECORDS_PER_TASK:
+        release(rest)
     known = solved.unionByName(below).withColumnRenamed("tag", "part").withColumn("kind", F.lit(2))
     both = own.drop("to").unionByName(known, allowMissingColumns=True)
     return _laid_out(both, parts).mapInPandas(_solve_group(fold), SOLUTION)
@@ -303,7 +308,8 @@ def _by_coin(records: DataFrame, n: int, level: int, fold: Fold) -> DataFrame:
     kept = durable(kept)
     left = kept.count()
     # Coins leave cycles of one record, which ranges take out.
-    done = durable(solve(kept, fold, left, coin=left <= POOR_COIN * n, level=level + 1))
+    done = settled(lambda: solve(kept, fold, left, coin=left <= POOR_COIN * n, level=level + 1))
+    release(kept)
     over = done.select("tree_no", F.col("id").alias("parent"), F.col("root").alias("proot"), F.col("depth").alias("pdepth"), F.col("prefix").alias("pprefix"), "cyclic")
     acyclic = ~F.coalesce(F.col("cyclic"), F.lit(False))
     prefix = F.concat(F.coalesce("pprefix", F.lit("")), fold.prefix(F.col("seg"))) if fold.kind == "path" else fold.joined(F.col("pprefix"), F.col("seg"))
@@ -316,7 +322,10 @@ def _by_coin(records: DataFrame, n: int, level: int, fold: Fold) -> DataFrame:
 
 
 def solve(records: DataFrame, fold: Fold, n: int, *, coin: bool = False, level: int = 0) -> DataFrame:
-    """Solution of every record: root (or the cycle's smallest key), depth, what the path before the node folds to."""
+    """Solution of every record: root (or the cycle's smallest key), depth, what the path before the node folds to.
+
+    More than ``RECORDS_PER_TASK`` records, and those of level 0, are read here and not again when the result is.
+    """
     if level and n <= RECORDS_PER_TASK:
         known = F.lit(None)
         one = records.withColumns({
@@ -336,14 +345,16 @@ def linked_nodes(nodes: DataFrame) -> DataFrame:
         last.select("tree_no", "node_key", F.when(~F.col("r.parent").isin("", "__undefined"), F.col("r.parent")).alias("parent"))
     )
     keys = known.select("tree_no", F.col("node_key").alias("parent"), F.lit(True).alias("has"))
-    return durable(known.join(keys, ["tree_no", "parent"], "left"))
+    linked = durable(known.join(keys, ["tree_no", "parent"], "left"))
+    release(known)
+    return linked
 
 
 def solved_nodes(linked: DataFrame, fold: Fold, seg: Column) -> DataFrame:
     """Solutions of the nodes of ``linked`` that have a parent; ``seg`` is what a node's parent adds to the fold."""
-    records = durable(linked.where("has").select(
+    records = linked.where("has").select(
         "tree_no", F.col("node_key").alias("id"), "parent", F.lit(1).cast("long").alias("w"), seg.alias("seg"), F.col("parent").alias("low"), F.lit(0).alias("tag")
-    ))
+    )
     return solve(records, fold, records.count()).drop("tag")
 
 
@@ -380,6 +391,7 @@ def taken_down(linked: DataFrame, values: DataFrame, kind: str) -> DataFrame:
     of_parent = values.select("tree_no", F.col("node_key").alias("parent"), "value")
     with_value = durable(linked.join(of_parent, ["tree_no", "parent"], "left"))
     solved = solved_nodes(with_value, Fold(kind), F.col("value"))
+    release(with_value)
     none = F.lit(None).cast("string")
     roots = linked.where("has is null").select("tree_no", "node_key", F.lit(0).cast("long").alias("depth"), F.lit(False).alias("cyclic"), none.alias("above"))
     return roots.unionByName(solved.select("tree_no", F.col("id").alias("node_key"), "depth", "cyclic", F.when(~F.col("cyclic"), F.col("prefix")).alias("above")))

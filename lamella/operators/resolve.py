@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamella.operators import hierarchy as H
-from lamella.plans.runtime import durable
+from lamella.plans.runtime import durable, release, settled
 
 
 def closure(nodes: DataFrame) -> DataFrame:
@@ -56,10 +56,9 @@ def nearest_value(nodes: DataFrame, values: DataFrame, default: Column | None =
     have their own value only. The nearest holder goes down each path; ancestor-descendant
     pairs are never made.
     """
-    linked = _linked(nodes)
     held = durable(values.select("node", F.col("value").alias("v")))
     holders = held.select(F.lit(0).cast("long").alias("tree_no"), F.col("node").alias("node_key"), F.col("node").alias("value"))
-    down = durable(H.taken_down(linked, holders, "nearest").select(F.col("node_key").alias("node"), "depth", "above"))
+    down = settled(lambda: H.taken_down(_linked(nodes), holders, "nearest").select(F.col("node_key").alias("node"), "depth", "above"))
     own = held.select("node", F.lit(True).alias("has"))
     at = down.join(own, "node", "left").withColumn("holder", F.when(F.col("has"), F.col("node")).otherwise(F.col("above")))
     depths = down.select(F.col("node").alias("holder"), F.col("depth").alias("hdepth")).join(held.withColumnRenamed("node", "holder"), "holder")
@@ -102,9 +101,11 @@ def walk_up(nodes: DataFrame, steps: int, *, stop: str | None = None) -> DataFra
     has = known.select(F.col("node").alias("parent"), F.lit(True).alias("has"))
     ends = ~F.coalesce("has", F.lit(False)) | (F.col("parent") == F.lit(stop) if stop is not None else F.lit(False))
     at = durable(known.join(has, "parent", "left").select("node", F.when(ends, F.col("node")).otherwise(F.col("parent")).alias("top")))
+    release(known)
     done = 1
     while done < steps:
-        at = durable(at.join(at.select(F.col("node").alias("top"), F.col("top").alias("next")), "top").select("node", F.col("next").alias("top")))
+        last, at = at, durable(at.join(at.select(F.col("node").alias("top"), F.col("top").alias("next")), "top").select("node", F.col("next").alias("top")))
+        release(last)
         done *= 2
     return at
 

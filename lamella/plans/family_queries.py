@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from lamella.operators import families as M
 from lamella.operators import resolve as R
-from lamella.plans.runtime import durable, read_table
+from lamella.plans.runtime import durable, read_table, settled
 from lamella.plans.spec_queries import BUCKETS, CHAIN_SQL, METHODS_SQL, class_edges, class_methods
 from lamella.sources.documents import canonical
 
 
 def rooted(spark: SparkSession, d: str) -> DataFrame:
-    return durable(R.roots(class_edges(spark, d)).select("node", "root"))
+    return settled(lambda: R.roots(class_edges(spark, d)).select("node", "root"))
 
 
 def family_sizes(spark, d):

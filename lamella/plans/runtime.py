@@ -6,12 +6,17 @@ import io
 import pathlib
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest side that is ever broadcast, in bytes of its JSON form.
 BROADCAST_BYTES = 16 * 1024 * 1024
+#: Session setting under which an action drops its shuffle files once it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Copies written so far inside each :func:`settled` that has begun and not ended.
+_begun: list[list[DataFrame]] = []
 
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -59,11 +64,43 @@ def durable(df: DataFrame) -> DataFrame:
     the work that led to it. A checkpoint keeps the estimated size of its plan, which for a join
     is the product of both sides: over the levels of a contraction the number alone outgrows the
     driver. So the copy is of unknown size to the planner, and nothing is broadcast before it was measured.
+    Shuffle files that led to the copy go at once; else they stay until the driver happens to collect garbage.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    written = df.checkpoint(eager=True)._jdf
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        # The setting is read when a DataFrame is made, so this must be a new one.
+        written = df.select("*").checkpoint(eager=True)._jdf
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     unsized = written.sparkSession().internalCreateDataFrame(written.queryExecution().toRdd(), written.schema(), False)
-    return type(df)(unsized, df.sparkSession)
+    copy = type(df)(unsized, spark)
+    copy._lamella_file = written.queryExecution().logical().rdd().getCheckpointFile().get()
+    if _begun:
+        _begun[-1].append(copy)
+    return copy
+
+
+def release(*copies: DataFrame) -> None:
+    """Delete copies of :func:`durable`; nothing that was made of them may be run any more."""
+    for c in copies:
+        path = c.sparkSession._jvm.org.apache.hadoop.fs.Path(c._lamella_file)
+        path.getFileSystem(c.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """A durable copy of what ``make`` gives; all copies that were written on the way to it are deleted."""
+    _begun.append([])
+    try:
+        copy = durable(make())
+    finally:
+        made = _begun.pop()
+    release(*[c for c in made if c is not copy])
+    if _begun:
+        _begun[-1].append(copy)
+    return copy
 
 
 def measured_bytes(df: DataFrame) -> int:

@@ -137,3 +137,18 @@ def test_written_results_have_no_growing_estimate(spark):
         df = durable(df.join(df.select("id", F.col("v").alias("w")), "id", "left").select("id", F.col("v").alias("v")))
     assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() <= 64
     assert sorted(map(tuple, df.collect())) == [(0, 1), (1, 1), (2, 1)]
+
+
+def test_only_the_result_stays_written(spark):
+    """Copies made on the way to the families' roots, and the shuffle files that led to them, are gone."""
+    import glob
+
+    from lamella.plans.family_queries import rooted
+    from lamella.plans.runtime import ensure_checkpoint_dir
+    from tests.compare import DATA
+
+    ensure_checkpoint_dir(spark)
+    written = lambda: set(glob.glob(f"{spark.sparkContext._jsc.getCheckpointDir().get().removeprefix('file:')}/rdd-*"))
+    before = written()
+    kept = rooted(spark, DATA)
+    assert len(written() - before) == 1 and kept.count() > 0
