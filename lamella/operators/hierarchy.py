@@ -48,9 +48,28 @@ SOLUTION = "tree_no long, id string, root string, depth long, prefix string, cyc
 _CONTRACTED = "answer boolean, tree_no long, id string, top string, w long, seg string, low string, parent string, cycle string, part int"
 
 
+#: Hexadecimal digits of one block of a set, and members that it stands for: a long without its sign.
+DIGITS, BITS = 15, 60
+
+
+def block_at(text: Column, at: Column) -> Column:
+    """The block of a set's text that begins at ``at`` (from 1), as a long."""
+    return F.conv(F.substring(text, at, F.lit(DIGITS)), 16, 10).cast("long")
+
+
+def block_text(bits: Column) -> Column:
+    return F.lpad(F.hex(bits), DIGITS, "0")
+
+
+def bits_text(bits: Column, n: int) -> Column:
+    """Text of a set from ``bits``, a map of block (from 0) to long: ``n`` blocks of ``DIGITS`` digits."""
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda b: block_text(F.coalesce(bits[b], F.lit(0).cast("long")))), "")
+
+
 @dataclass(frozen=True)
 class Fold:
-    """How segments join: ``path`` lines keys up by ``sep``; ``nearest`` keeps the lower of two that are not null, ``least`` the lesser."""
+    """How segments join: ``path`` lines keys up by ``sep``; ``nearest`` keeps the lower of two that are not null, ``least`` the lesser;
+    ``union`` joins sets in the form of :func:`bits_text`, all of one length."""
 
     kind: str
     sep: str = "/"
@@ -58,6 +77,10 @@ class Fold:
     def joined(self, upper: Column, lower: Column) -> Column:
         if self.kind == "path":
             return F.concat_ws(self.sep, upper, lower)
+        if self.kind == "union":
+            blocks = F.sequence(F.lit(1), F.length(upper), F.lit(DIGITS))
+            both = F.array_join(F.transform(blocks, lambda at: block_text(block_at(upper, at).bitwiseOR(block_at(lower, at)))), "")
+            return F.when(upper.isNull(), lower).when(lower.isNull(), upper).otherwise(both)
         return F.coalesce(lower, upper) if self.kind == "nearest" else F.least(upper, lower)
 
     def prefix(self, seg: Column) -> Column:
@@ -69,6 +92,8 @@ class Fold:
             return seg + self.sep
         if above is None or seg is None:
             return seg if above is None else above
+        if self.kind == "union":
+            return f"{int(above, 16) | int(seg, 16):0{len(seg)}X}"
         return seg if self.kind == "nearest" else min(above, seg, key=str.encode)
 
     def held(self, stack: list) -> str | None:
@@ -384,8 +409,8 @@ def taken_down(linked: DataFrame, values: DataFrame, kind: str) -> DataFrame:
     """What each node gets from its ancestors: (tree_no, node_key, depth, cyclic, above).
 
     ``values`` are (tree_no, node_key, value as text), each node at most once. ``above`` is that of the
-    nearest ancestor that has one (``kind`` nearest) or the least of all ancestors' (least), null if none
-    has any. Nodes on a cycle or below one, and roots, have none. One value goes down each path, so
+    nearest ancestor that has one (``kind`` nearest), the least of all ancestors' (least) or all of theirs
+    together (union), null if none has any. Nodes on a cycle or below one, and roots, have none. One value goes down each path, so
     the work does not grow with the number of ancestor-descendant pairs.
     """
     of_parent = values.select("tree_no", F.col("node_key").alias("parent"), "value")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamella.operators import hierarchy as H
-from lamella.plans.runtime import durable, release, settled
+from lamella.plans.runtime import broadcast_if_small, durable, release, settled
 
 
 def closure(nodes: DataFrame) -> DataFrame:
@@ -91,6 +92,37 @@ def override_classes(chain: DataFrame, members: DataFrame) -> DataFrame:
     return both.select("node", "name", F.when(F.col("own") + F.col("above") == 2, "overridden").when(F.col("own") == 1, "new").otherwise("inherited").alias("status"))
 
 
+def override_counts(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """How many members of each node are overridden, new or inherited, as :func:`override_classes` has them: (node, status, n).
+
+    Names are numbered, and each node's are a set of bits that goes down the paths and is joined with those
+    below: neither ancestor-descendant pairs nor a row for each inherited name is made. ``members`` may repeat rows.
+    """
+    members = members.select("node", "name")
+    names = durable(members.select("name").distinct().select("name", (F.row_number().over(Window.orderBy("name")) - 1).alias("no")))
+    blocks = math.ceil(names.count() / H.BITS)
+    if not blocks:
+        return members.limit(0).select("node", F.lit("new").alias("status"), F.lit(0).cast("long").alias("n"))
+    numbers = broadcast_if_small(names.withColumnRenamed("name", "known"))
+    numbered = members.join(numbers, F.col("name").eqNullSafe(F.col("known")))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("no") % H.BITS)
+    sets = numbered.groupBy("node", F.floor(F.col("no") / H.BITS).cast("int").alias("block")).agg(F.bit_or(bit).alias("bits"))
+    own = durable(sets.groupBy("node").agg(H.bits_text(F.map_from_entries(F.collect_list(F.struct("block", "bits"))), blocks).alias("own")))
+    held = own.where("node is not null").select(F.lit(0).cast("long").alias("tree_no"), F.col("node").alias("node_key"), F.col("own").alias("value"))
+    above = H.taken_down(_linked(nodes), held, "union").where("above is not null").select(F.col("node_key").alias("node"), "above")
+    none = F.lit("0" * (H.DIGITS * blocks))
+    both = own.join(above, "node", "full").select("node", F.coalesce("own", none).alias("own"), F.coalesce("above", none).alias("above"))
+    starts = F.sequence(F.lit(1), F.length("own"), F.lit(H.DIGITS))
+    held_at, above_at = (lambda at, c=c: H.block_at(F.col(c), at) for c in ("own", "above"))
+    total = lambda bits: F.aggregate(F.transform(starts, lambda at: F.bit_count(bits(at)).cast("long")), F.lit(0).cast("long"), lambda a, b: a + b)
+    counts = F.array(
+        F.struct(F.lit("overridden").alias("status"), total(lambda at: held_at(at).bitwiseAND(above_at(at))).alias("n")),
+        F.struct(F.lit("new").alias("status"), total(lambda at: held_at(at).bitwiseAND(F.bitwise_not(above_at(at)))).alias("n")),
+        F.struct(F.lit("inherited").alias("status"), total(lambda at: above_at(at).bitwiseAND(F.bitwise_not(held_at(at)))).alias("n")),
+    )
+    return both.select("node", F.explode(counts).alias("c")).select("node", "c.*").where("n > 0")
+
+
 def walk_up(nodes: DataFrame, steps: int, *, stop: str | None = None) -> DataFrame:
     """(node, top): where at most ``steps`` (a power of two) steps to the parent lead from each node.
 

@@ -152,3 +152,23 @@ def test_only_the_result_stays_written(spark):
     before = written()
     kept = rooted(spark, DATA)
     assert len(written() - before) == 1 and kept.count() > 0
+
+
+@pytest.fixture
+def odd_forest(spark):
+    """Random parents with cycles, names that repeat and fill more than one block of bits, a node that is in no tree."""
+    rnd = random.Random(3)
+    parent = {f"n{i:03d}": f"n{rnd.randrange(150):03d}" if rnd.random() < 0.8 else None for i in range(150)}
+    nodes = spark.createDataFrame(sorted(parent.items()), "node string, parent string")
+    names = [(k, f"m{rnd.randrange(130):03d}") for k in sorted(parent) for _ in range(rnd.randrange(5))] + [("n000", "m000"), ("n000", "m000"), ("apart", "m001")]
+    return nodes, spark.createDataFrame(names, "node string, name string")
+
+
+def test_override_counts_make_no_pairs(spark, monkeypatch, odd_forest):
+    import lamella.operators.resolve as R
+
+    nodes, members = odd_forest
+    want = R.override_classes(R.closure(nodes), members.distinct()).groupBy("node", "status").agg(F.count("*")).collect()
+    monkeypatch.setattr(H, "RECORDS_PER_TASK", 60)
+    got = R.override_counts(nodes, members)
+    assert sorted(got.collect()) == sorted(want) and R.override_counts(nodes, members.limit(0)).collect() == []
