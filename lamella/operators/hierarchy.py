@@ -497,14 +497,18 @@ def _totals(records: DataFrame, n: int, level: int = 0) -> DataFrame:
     placed = durable(records.repartitionByRange(parts, "tree_no", "id").withColumn("part", F.spark_partition_id()))
     target = placed.select("tree_no", F.col("id").alias("parent"), F.col("part").alias("to"))
     own = durable(placed.join(target, ["tree_no", "parent"], "left").withColumn("kind", F.lit(0)))
+    release(placed)
     asked = own.where("part <> to").select("tree_no", F.col("parent").alias("id"), F.col("to").alias("part")).distinct().withColumn("kind", F.lit(1))
     split = durable(_laid_out(own.drop("to").unionByName(asked, allowMissingColumns=True), parts).mapInPandas(_sum_contract, _SUMMED))
     ways = split.where("answer").select("tree_no", F.col("id").alias("parent"), "top", F.col("w").alias("aw"), F.col("part").alias("to"))
     tops = durable(split.where("not answer").select("tree_no", "id", "parent", "w", "size", "tall", "part").join(ways, ["tree_no", "parent"], "left"))
+    release(split)
     rest = tops.select("tree_no", "id", F.col("top").alias("parent"), (F.col("w") + F.coalesce("aw", F.lit(0))).alias("w"), "size", "tall", F.col("part").alias("tag"))
     rest = durable(rest)
     left = rest.count()
     below = _by_joins(rest) if left > POOR * n and left > RECORDS_PER_TASK else _totals(rest, left, level + 1)
+    if left > RECORDS_PER_TASK:
+        release(rest)
     sums = below.select("tree_no", "id", F.col("size").alias("__size"), F.col("tall").alias("__tall"))
     added = tops.where("to is not null").join(sums, ["tree_no", "id"]).groupBy("tree_no", "parent", "to").agg(
         F.sum("__size").alias("size"), F.max(F.col("__tall") + F.col("w")).alias("tall")
@@ -543,6 +547,23 @@ def descendant_counts(nodes: DataFrame) -> DataFrame:
     return out.select("tree_no", F.col("id").alias("node_key"), (F.col("size") - 1).alias("descendants"), "children", F.col("tall").alias("height"))
 
 
+def marked_below(linked: DataFrame, marked: DataFrame) -> DataFrame:
+    """(tree_no, node_key) of acyclic nodes that are in ``marked`` (tree_no, node_key), each once, or have a descendant there.
+
+    Counts of marked nodes go up the contraction; neither paths nor pairs are made. ``linked`` is a copy and is deleted.
+    """
+    cyclic = settled(lambda: solved_nodes(linked, Fold("nearest"), F.lit(None).cast("string")).where("cyclic").select("tree_no", F.col("id").alias("node_key")))
+    acyclic = linked.join(cyclic, ["tree_no", "node_key"], "left_anti").join(marked.withColumn("marked", F.lit(True)), ["tree_no", "node_key"], "left")
+    kept = durable(acyclic.select(
+        "tree_no", F.col("node_key").alias("id"), F.when(F.col("has"), F.col("parent")).alias("parent"), F.lit(1).cast("long").alias("w"),
+        F.when(F.col("marked"), 1).otherwise(0).cast("long").alias("size"), F.lit(0).cast("long").alias("tall"), F.lit(0).alias("tag"),
+    ))
+    release(linked, cyclic)
+    totals = _totals(kept, kept.count())
+    release(kept)
+    return totals.where("size > 0").select("tree_no", F.col("id").alias("node_key"))
+
+
 #: Separator that joins keys where a path is taken apart again; no key may contain it.
 UNSEEN = "\u0000"
 

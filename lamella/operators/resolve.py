@@ -173,6 +173,14 @@ def close_scope(chain: DataFrame, scope: DataFrame) -> DataFrame:
     return all_.join(asked, "id", "full").select("id", F.col("asked").isNull().alias("added"))
 
 
+def scope_with_ancestors(nodes: DataFrame, scope: DataFrame) -> DataFrame:
+    """What :func:`close_scope` gives for the closure of ``nodes`` (node, parent): (id, added), without making the closure."""
+    ids = durable(scope.select("id").distinct())
+    held = H.marked_below(_linked(nodes), ids.select(F.lit(0).cast("long").alias("tree_no"), F.col("id").alias("node_key")))
+    above = held.select(F.col("node_key").alias("id")).join(ids, "id", "left_anti")
+    return ids.select("id", F.lit(False).alias("added")).unionByName(above.select("id", F.lit(True).alias("added")))
+
+
 def reachable(edges: DataFrame, start: DataFrame, *, depth: int | None = None) -> DataFrame:
     """(start, node, hops) for nodes that calls lead to, with the fewest hops; ``depth`` bounds them.
 

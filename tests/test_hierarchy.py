@@ -172,3 +172,14 @@ def test_override_counts_make_no_pairs(spark, monkeypatch, odd_forest):
     monkeypatch.setattr(H, "RECORDS_PER_TASK", 60)
     got = R.override_counts(nodes, members)
     assert sorted(got.collect()) == sorted(want) and R.override_counts(nodes, members.limit(0)).collect() == []
+
+
+def test_scope_with_ancestors_makes_no_pairs(spark, monkeypatch, odd_forest):
+    import lamella.operators.resolve as R
+
+    nodes, _ = odd_forest
+    scope = spark.createDataFrame([(f"n{i:03d}",) for i in range(0, 150, 11)] + [("apart",), ("n000",)], "id string")
+    want = R.close_scope(R.closure(nodes), scope).collect()
+    monkeypatch.setattr(H, "RECORDS_PER_TASK", 60)
+    got = R.scope_with_ancestors(nodes, scope).collect()
+    assert sorted(got) == sorted(want) and any(r.added for r in got)
