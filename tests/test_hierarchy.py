@@ -183,3 +183,19 @@ def test_scope_with_ancestors_makes_no_pairs(spark, monkeypatch, odd_forest):
     monkeypatch.setattr(H, "RECORDS_PER_TASK", 60)
     got = R.scope_with_ancestors(nodes, scope).collect()
     assert sorted(got) == sorted(want) and any(r.added for r in got)
+
+
+def test_nearest_values_leave_two_copies(spark):
+    """Only the values and what goes down the paths stay written; those of the contraction are gone."""
+    import glob
+
+    import lamella.operators.resolve as R
+    from lamella.plans.runtime import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    written = lambda: set(glob.glob(f"{spark.sparkContext._jsc.getCheckpointDir().get().removeprefix('file:')}/rdd-*"))
+    nodes = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b")], "node string, parent string")
+    before = written()
+    found = R.nearest_value(nodes, spark.createDataFrame([("a", 5)], "node string, value int"))
+    assert len(written() - before) == 2
+    assert {(r.node, r.value, r.origin) for r in found.collect()} == {("a", 5, "self"), ("b", 5, "a"), ("c", 5, "a")}
