@@ -199,3 +199,18 @@ def test_nearest_values_leave_two_copies(spark):
     found = R.nearest_value(nodes, spark.createDataFrame([("a", 5)], "node string, value int"))
     assert len(written() - before) == 2
     assert {(r.node, r.value, r.origin) for r in found.collect()} == {("a", 5, "self"), ("b", 5, "a"), ("c", 5, "a")}
+
+
+def test_tiers_leave_three_copies(spark):
+    """Edges, tiers and the tops of walks stay written."""
+    import glob
+
+    from lamella.plans.runtime import ensure_checkpoint_dir
+    from lamella.plans.spec_queries import tier_expansion
+    from tests.compare import DATA
+
+    ensure_checkpoint_dir(spark)
+    written = lambda: set(glob.glob(f"{spark.sparkContext._jsc.getCheckpointDir().get().removeprefix('file:')}/rdd-*"))
+    before = written()
+    tier_expansion(spark, DATA)
+    assert len(written() - before) == 3
