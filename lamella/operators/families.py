@@ -27,11 +27,12 @@ def families(rooted: DataFrame, aliases: DataFrame, streaming: DataFrame) -> Dat
 
 
 def shared_members(rooted: DataFrame, members: DataFrame) -> DataFrame:
-    """Names (root, name) of a root that no other member of its family has itself."""
-    own = members.select("node", "name").distinct()
-    of_root = own.select(F.col("node").alias("root"), "name")
-    below = rooted.where("node <> root").join(own, "node").select("root", "name").distinct()
-    return of_root.join(rooted.select("root").distinct(), "root", "left_semi").join(below, ["root", "name"], "left_anti")
+    """Names (root, name) of a root that no other member of its family has itself; ``members`` may repeat rows."""
+    family = rooted.where("node <> root").select("node", "root", F.lit(True).alias("below")).unionByName(
+        rooted.select("root").distinct().select(F.col("root").alias("node"), "root", F.lit(False).alias("below"))
+    )
+    both = family.join(members.select("node", "name"), "node").groupBy("root", "name").agg(F.min("below").alias("none_at_root"), F.max("below").alias("any_below"))
+    return both.where("not none_at_root and not any_below").select("root", "name")
 
 
 def touched_families(rooted: DataFrame, scope: DataFrame) -> DataFrame:

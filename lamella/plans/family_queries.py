@@ -31,7 +31,8 @@ def family_members(spark, d):
 
 
 def family_shared(spark, d):
-    return M.shared_members(rooted(spark, d), class_methods(spark, d))
+    members = read_table(spark, d, "class_hierarchy").select(F.col("node_key").alias("node"), F.explode("methods").alias("name"))
+    return M.shared_members(rooted(spark, d), members)
 
 
 def family_rollup(spark, d):

@@ -214,3 +214,10 @@ def test_tiers_leave_three_copies(spark):
     before = written()
     tier_expansion(spark, DATA)
     assert len(written() - before) == 3
+
+
+def test_family_shared_takes_the_methods_apart_once(spark):
+    from lamella.plans.family_queries import family_shared
+    from tests.compare import DATA
+
+    assert family_shared(spark, DATA)._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1
